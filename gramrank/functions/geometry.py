@@ -4,40 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def distance(x: Column, y: Column, cx: Column, cy: Column) -> Column:
-    return F.sqrt(F.pow(F.abs(x - cx), 2) + F.pow(F.abs(y - cy), 2))
-
-
-def centroid_array(centroids: Sequence[tuple[int, float, float]]) -> Column:
-    """The given centroids as one constant array column."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(int(cid)).alias("centroid_id"),
-                F.lit(float(cx)).alias("cx"),
-                F.lit(float(cy)).alias("cy"),
-            )
-            for cid, cx, cy in centroids
-        ]
-    )
-
-
-def nearest(x: Column, y: Column, centroids: Column) -> Column:
-    """Struct ``(d, centroid_id, cx, cy)`` of the nearest centroid; the lowest id
-    wins a tie. The centroids are part of the row expression, so assigning points
-    needs neither a join nor a shuffle."""
-    return F.array_min(
-        F.transform(
-            centroids,
-            lambda c: F.struct(
-                distance(x, y, c["cx"], c["cy"]).alias("d"),
-                c["centroid_id"].alias("centroid_id"),
-                c["cx"].alias("cx"),
-                c["cy"].alias("cy"),
-            ),
+def distance(x: Column, y: Column, cx: Column | float, cy: Column | float) -> Column:
+    dx, dy = x - cx, y - cy
+    return F.sqrt(dx * dx + dy * dy)
+
+
+def _constants(values: Sequence[float | int]) -> Column:
+    return F.array(*[F.lit(value) for value in values])
+
+
+def with_nearest(
+    points: DataFrame, centroids: Sequence[tuple[int, float, float]]
+) -> DataFrame:
+    """``points`` with ``[centroid_id, cx, cy, d]`` of the nearest centroid; the first
+    one listed wins a tie.
+
+    The centroids are constants in the row expression, one distance column each, so
+    assigning points needs neither a join nor a shuffle and compiles to plain
+    arithmetic. Meant for tens of centroids.
+    """
+    own = points.columns
+    ids, xs, ys = zip(*[(int(cid), float(cx), float(cy)) for cid, cx, cy in centroids])
+    names = [f"_d{place}" for place in range(len(ids))]
+    distances = {
+        name: distance(F.col("x"), F.col("y"), F.lit(cx), F.lit(cy))
+        for name, cx, cy in zip(names, xs, ys)
+    }
+    smallest = F.least(*names) if len(names) > 1 else F.col(names[0])
+    place = F.lit(len(names))
+    for position in range(len(names), 0, -1):
+        name = names[position - 1]
+        place = F.when(F.col(name) == F.col("d"), position).otherwise(place)
+    return (
+        points.withColumns(distances)
+        .withColumn("d", smallest)
+        .select(*own, "d", place.alias("_place"))
+        .select(
+            *own,
+            F.element_at(_constants(ids), F.col("_place")).alias("centroid_id"),
+            F.element_at(_constants(xs), F.col("_place")).alias("cx"),
+            F.element_at(_constants(ys), F.col("_place")).alias("cy"),
+            "d",
         )
     )

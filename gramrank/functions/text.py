@@ -12,6 +12,11 @@ SENTENCE_END = "[.?!][ ]"
 DELIMITER = "<====>"
 DELIMITER_TAIL = "====>"
 
+# Everything but a-z, 0-9 and token separators in lower-case text. Written as the
+# ranges to remove: on the JVM this is about 1.5 times as fast as the negated set.
+_NOISE = r"[!-/:-`{-\x{10ffff}\x00-\x08\x0b\x0e-\x1f]+"
+_NOISE_IN_SENTENCE = r"[!-/:-`{-\x{10ffff}\x00-\x1f]+"
+
 # Stands for "a token of which nothing was left"; never survives cleaning itself.
 _STRIPPED = "\u0001"
 
@@ -36,7 +41,7 @@ def raw_words(text: Column, keep_empty: bool = False) -> Column:
     empty (text starting or ending with a separator) are no tokens.
     """
     filler = _STRIPPED if keep_empty else ""
-    cleaned = F.regexp_replace(F.lower(text), r"[^a-z0-9 \t\n\r\f]+", filler)
+    cleaned = F.regexp_replace(F.lower(text), _NOISE, filler)
     return F.split(cleaned, TOKEN_GAP)
 
 
@@ -51,10 +56,10 @@ def sentence_array(body: Column) -> Column:
 
 
 def sentence_word_array(sentence: Column) -> Column:
-    """Distinct words of one sentence. Only spaces separate words here, so words
-    around a tab or a line break fuse."""
-    cleaned = F.regexp_replace(F.lower(sentence), "[^ a-z0-9]+", "")
-    return F.array_distinct(F.split(cleaned, " +"))
+    """Distinct words of one sentence and maybe an empty string, which is no word.
+    Only spaces separate words here, so words around a tab or a line break fuse."""
+    cleaned = F.regexp_replace(F.lower(sentence), _NOISE_IN_SENTENCE, "")
+    return F.array_distinct(F.split(cleaned, " "))
 
 
 def join_sentences(sentences: Column) -> Column:

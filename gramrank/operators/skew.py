@@ -1,12 +1,12 @@
 """Equi-joins in which one key may hold a large share of the left rows.
 
-The right side has one row per key and knows how many left rows the key has. A
-key with more than a ``1 / SLICES`` share is cut into pieces: its left rows get a
-salt, its right row is repeated once per piece. All other keys have the single
-salt 0. Fewer than ``SLICES`` keys can have such a share, so the list of them is
-small whatever the size of the data, and at most ``2 * SLICES`` right rows are
-added. Adaptive skew handling does not reach these joins, since the right side
-comes straight out of an aggregation on the join key.
+The right side has one row per key and knows how many left rows the key has. The
+``HOT_KEYS`` largest keys with ``PIECE_ROWS`` rows or more are cut into pieces: their
+left rows get a salt, their right row is repeated once per piece. All other keys
+have the single salt 0. The list of cut keys is bounded whatever the size of the
+data, and a key that is not on it holds less than ``1 / HOT_KEYS`` of the rows.
+Adaptive skew handling does not reach these joins, since the right side comes
+straight out of an aggregation on the join key.
 """
 
 from __future__ import annotations
@@ -14,28 +14,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 4096
-# A key with fewer rows than this is never cut.
-MIN_HOT_ROWS = 1_000_000
+HOT_KEYS = 4096
+MAX_PIECES = 4096
+PIECE_ROWS = 1_000_000
 
 
 def hot_keys(
-    sizes: DataFrame,
-    key: str,
-    rows: str,
-    slices: int = SLICES,
-    min_rows: int = MIN_HOT_ROWS,
+    sizes: DataFrame, key: str, rows: str, piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
-    """``[_hash, _pieces]`` of the keys of ``sizes`` that need cutting, fewer than
-    ``slices`` rows. Keys are kept as hashes: a key text has no size bound, and two
-    keys with one hash only get cut alike."""
-    share = F.col(rows) * F.lit(slices) / F.col("_total")
-    total = sizes.agg(F.sum(rows).alias("_total"))
+    """``[_hash, _pieces]`` of the keys of ``sizes`` to cut, at most ``HOT_KEYS`` rows.
+
+    Keys are kept as hashes: a key text has no size bound, and two keys with one
+    hash only get cut alike.
+    """
+    pieces = F.least(F.lit(MAX_PIECES), F.ceil(F.col(rows) / piece_rows)).cast("int")
     return (
-        sizes.withColumn("_total", total.scalar())
-        .where((F.col(rows) >= min_rows) & (share > 1))
+        sizes.where(F.col(rows) >= piece_rows)
+        .orderBy(F.desc(rows))
+        .limit(HOT_KEYS)
         .groupBy(F.xxhash64(key).alias("_hash"))
-        .agg(F.max(F.ceil(share)).cast("int").alias("_pieces"))
+        .agg(F.max(pieces).alias("_pieces"))
     )
 
 
@@ -59,11 +57,10 @@ def spread_join(
     key: str,
     rows: str,
     spread_by: list[str],
-    slices: int = SLICES,
-    min_rows: int = MIN_HOT_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Inner join of ``left`` with ``right``, unique by ``key``, whose column
     ``rows`` is the number of left rows of the key."""
-    hot = hot_keys(right, key, rows, slices, min_rows)
+    hot = hot_keys(right, key, rows, piece_rows)
     salted = add_salt(left, hot, key, spread_by)
     return salted.join(repeat_per_salt(right, hot, key), [key, "_salt"]).drop("_salt")

@@ -7,13 +7,15 @@ its row, and only k partial means per task are shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank import schemas
-from gramrank.functions.geometry import centroid_array, nearest
+from gramrank.functions.geometry import with_nearest
 from gramrank.operators.sampling import draw_rows
 
 Centroids = list[tuple[int, float, float]]
@@ -22,9 +24,8 @@ Centroids = list[tuple[int, float, float]]
 def assign(points: DataFrame, centroids: Sequence[tuple[int, float, float]]) -> DataFrame:
     """``[centroid_id, cx, cy, name, x, y, d]``: points with their nearest centroid
     and the distance to it."""
-    found = nearest(F.col("x"), F.col("y"), centroid_array(centroids))
-    return points.select("name", "x", "y", found.alias("found")).select(
-        "found.centroid_id", "found.cx", "found.cy", "name", "x", "y", "found.d"
+    return with_nearest(points.select("name", "x", "y"), centroids).select(
+        "centroid_id", "cx", "cy", "name", "x", "y", "d"
     )
 
 
@@ -37,7 +38,7 @@ def centroid_means(assigned: DataFrame) -> DataFrame:
 
 def cluster_sse(assigned: DataFrame) -> DataFrame:
     """``[centroid_id, sse]``: sum of squared distances of each cluster."""
-    return assigned.groupBy("centroid_id").agg(F.sum(F.pow("d", 2)).alias("sse"))
+    return assigned.groupBy("centroid_id").agg(F.sum(F.col("d") * F.col("d")).alias("sse"))
 
 
 def draw_centroids(
@@ -52,47 +53,70 @@ def draw_centroids(
     return [[(cid, next(xs), next(ys)) for cid in range(k)] for k in ks]
 
 
+def _move(points: DataFrame, centroids: Centroids) -> Centroids:
+    """One round: the mean points of the clusters around the given centroids. At most
+    k rows come back; a centroid without points is gone."""
+    rows = centroid_means(with_nearest(points, centroids)).collect()
+    return sorted((row["centroid_id"], row["cx"], row["cy"]) for row in rows)
+
+
 def _move_all(points: DataFrame, runs: list[Centroids]) -> tuple[list[Centroids], list[float]]:
     """One round for several runs in one pass over the points: the new centroids of
-    each run and the squared distances to the old ones, summed up."""
-    constant = F.array(
-        *[
-            F.struct(F.lit(run).alias("run"), centroid_array(centroids).alias("centroids"))
-            for run, centroids in enumerate(runs)
-        ]
-    )
-    per_run = F.transform(
-        constant,
-        lambda r: F.struct(
-            r["run"].alias("run"),
-            nearest(F.col("x"), F.col("y"), r["centroids"]).alias("found"),
-        ),
-    )
-    # At most one row per centroid comes back.
-    rows = (
-        points.select("x", "y", F.explode(per_run).alias("r"))
-        .groupBy("r.run", F.col("r.found.centroid_id").alias("centroid_id"))
-        .agg(
-            F.avg("x").alias("cx"),
-            F.avg("y").alias("cy"),
-            F.sum(F.pow("r.found.d", 2)).alias("sse"),
+    each run, and the squared distances to the old ones summed up per run.
+
+    Many runs mean more distances per point than one compiled row expression can
+    hold, so they are taken in array batches here. A task keeps three sums and a
+    count per centroid and hands on one row for each.
+    """
+    xs = [np.array([cx for _, cx, _ in run]) for run in runs]
+    ys = [np.array([cy for _, _, cy in run]) for run in runs]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros((4, len(cx))) for cx in xs]
+        for batch in batches:
+            x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for cx, cy, total in zip(xs, ys, totals):
+                dx, dy = x[:, None] - cx, y[:, None] - cy
+                d = np.sqrt(dx * dx + dy * dy)
+                place = d.argmin(axis=1)
+                near = d[np.arange(len(place)), place]
+                for row, weights in zip(total, (None, x, y, near * near)):
+                    row += np.bincount(place, weights, len(cx))
+        sizes = [len(cx) for cx in xs]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "run": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
+                "place": np.concatenate([np.arange(size, dtype=np.int32) for size in sizes]),
+                **{
+                    name: np.concatenate([total[row] for total in totals])
+                    for row, name in enumerate(("n", "x", "y", "sse"))
+                },
+            }
         )
-        .orderBy("run", "centroid_id")
+
+    rows = (
+        points.mapInArrow(sums, "run int, place int, n double, x double, y double, sse double")
+        .groupBy("run", "place")
+        .agg(*[F.sum(name).alias(name) for name in ("n", "x", "y", "sse")])
+        .where("n > 0")
         .collect()
     )
     moved: list[Centroids] = [[] for _ in runs]
     sse = [0.0 for _ in runs]
-    for row in rows:
-        moved[row["run"]].append((row["centroid_id"], row["cx"], row["cy"]))
+    for row in sorted(rows, key=lambda row: (row["run"], row["place"])):
+        cid = runs[row["run"]][row["place"]][0]
+        moved[row["run"]].append((cid, row["x"] / row["n"], row["y"] / row["n"]))
         sse[row["run"]] += row["sse"]
     return moved, sse
 
 
 def _cached(points: DataFrame) -> tuple[DataFrame, bool]:
+    """The coordinates, kept for the rounds, and whether they are ours to release."""
     level = points.storageLevel
+    places = points.select("x", "y").dropna()
     if level.useMemory or level.useDisk:
-        return points, False
-    return points.persist(), True
+        return places, False
+    return places.persist(), True
 
 
 def kmeans_centroids(
@@ -103,13 +127,13 @@ def kmeans_centroids(
     init: Sequence[tuple[float, float]] | None = None,
 ) -> Centroids:
     """The centroids that round ``max_iter`` assigns points to."""
-    kept, ours = _cached(points.select("x", "y"))
+    kept, ours = _cached(points)
     if init is not None:
         current: Centroids = [(cid, x, y) for cid, (x, y) in enumerate(init)]
     else:
         current = draw_centroids(kept, [k], seed)[0]
     for _ in range(max_iter - 1):
-        current = _move_all(kept, [current])[0][0]
+        current = _move(kept, current)
     if ours:
         kept.unpersist()
     return current
@@ -143,7 +167,7 @@ def elbow(
     All runs of all k share each pass, so the points are read ``max_iter`` times in
     total. With ``init`` run k starts from its first k entries.
     """
-    kept, ours = _cached(points.select("x", "y"))
+    kept, ours = _cached(points)
     ks = [k for k in range(1, max_k + 1) for _ in range(restarts)]
     if init is not None:
         current = [[(cid, *init[cid]) for cid in range(k)] for k in ks]

@@ -7,11 +7,11 @@ the first round, a page without out-links receives rank and passes none on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramrank import schemas
-from gramrank.operators.skew import MIN_HOT_ROWS, SLICES, add_salt, hot_keys, repeat_per_salt
+from gramrank.operators.skew import PIECE_ROWS, add_salt, hot_keys, repeat_per_salt
 from gramrank.session import cut_lineage
 
 # Fixed value: page that the sub-graph ranking links every selected page to.
@@ -30,7 +30,7 @@ def pagerank(
     damping: float = 0.85,
     teleport: str = "share",
     rounds_per_cut: int = 6,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """``[id, rank]`` after ``iterations`` rounds over ``[src, dst]`` edges.
 
@@ -50,16 +50,19 @@ def pagerank(
     spark = edges.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    links = edges.select("src", "dst").distinct().persist()
+    named = edges.select("src", "dst").distinct().persist()
+    if _has_number_ids(named):
+        links = named.select(F.col("src").try_cast("bigint"), F.col("dst").try_cast("bigint"))
+    else:
+        links = named
     degrees = links.groupBy("src").agg(F.count("*").alias("deg")).persist()
-    sources = degrees.count()
+    sources, top_degree = degrees.agg(F.count("*"), F.max("deg")).first()
     if sources == 0:
-        links.unpersist()
+        named.unpersist()
         degrees.unpersist()
         return spark.createDataFrame([], schemas.RANKS)
 
-    hot = hot_keys(degrees, "src", "deg", SLICES, min_hot_rows).persist()
-    if hot.isEmpty():
+    if top_degree < piece_rows:
         keys = ["src"]
         salted_links = links
 
@@ -67,6 +70,7 @@ def pagerank(
             return df
     else:
         keys = ["src", "_salt"]
+        hot = cut_lineage(hot_keys(degrees, "src", "deg", piece_rows))
         salted_links = add_salt(links, hot, "src", ["dst"])
 
         def spread(df: DataFrame) -> DataFrame:
@@ -78,26 +82,40 @@ def pagerank(
         .sortWithinPartitions(*keys)
         .persist()
     )
+    out_edges.count()
+    named.unpersist()
+
     start = 1.0 / sources
     target = start if teleport == "share" else 1.0
-
     ranks = degrees.select(F.col("src").alias("id"), F.lit(start).alias("rank"))
     for done in range(1, iterations + 1):
         current = spread(ranks.withColumnRenamed("id", "src"))
         passed = (
             out_edges.join(current, keys)
-            .groupBy("dst")
+            .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("rank") / F.col("deg")).alias("received"))
         )
         rank = F.col("received")
         if taxation:
             rank = F.lit((1.0 - damping) * target) + F.lit(damping) * rank
-        ranks = passed.select(F.col("dst").alias("id"), rank.alias("rank"))
+        ranks = passed.select("id", rank.alias("rank"))
         if done % rounds_per_cut == 0 or done == iterations:
             ranks = cut_lineage(ranks)
-    for kept in (out_edges, hot, degrees, links):
-        kept.unpersist()
-    return ranks
+    out_edges.unpersist()
+    degrees.unpersist()
+    return ranks.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "rank")
+
+
+def _has_number_ids(links: DataFrame) -> bool:
+    """True if all ids are whole numbers that survive being written as such, apart
+    from the empty target. They are then ranked as numbers (the empty target as
+    null, which passes nothing on), which is smaller to shuffle and join."""
+
+    def number(name: str) -> Column:
+        return F.coalesce(F.col(name).try_cast("bigint").cast("string") == F.col(name), F.lit(False))
+
+    fits = number("src") & (number("dst") | (F.col("dst") == ""))
+    return bool(links.agg(F.bool_and(fits)).first()[0])
 
 
 def with_titles(ranks: DataFrame, titles: DataFrame) -> DataFrame:

@@ -33,18 +33,24 @@ def sentence_words(articles: DataFrame) -> DataFrame:
 
 
 def sentence_weights(articles: DataFrame) -> DataFrame:
-    """``[doc_id, sid, word, tfidf]`` of sentence words that are document words."""
-    weights = tf_idf(articles).select("doc_id", "word", "tfidf")
-    return sentence_words(articles).join(weights, ["doc_id", "word"])
+    """``[doc_id, sid, word, tfidf]`` of sentence words that are document words.
+
+    Both sides are many times larger than the texts they come from, so their size
+    is not to be judged by the size of the files: the merge hint rules out that
+    either is broadcast.
+    """
+    usable = with_doc_id(articles)
+    weights = tf_idf(usable).select("doc_id", "word", "tfidf")
+    return sentence_words(usable).hint("merge").join(weights, ["doc_id", "word"])
 
 
 def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` best rows of each sentence; equal values count separately."""
-    best = W.partitionBy("doc_id", "sid").orderBy(F.desc("tfidf"), "word")
+    """``[doc_id, sid, place, tfidf]``: the ``k`` best values of each sentence; equal
+    values count separately."""
+    best = W.partitionBy("doc_id", "sid").orderBy(F.desc("tfidf"))
     return (
-        weights.withColumn("place", F.row_number().over(best))
+        weights.select("doc_id", "sid", F.row_number().over(best).alias("place"), "tfidf")
         .where(F.col("place") <= k)
-        .select("doc_id", "sid", "word", "tfidf", "place")
     )
 
 

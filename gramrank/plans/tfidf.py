@@ -7,6 +7,10 @@ documents that have any word.
 Per-document and per-word figures are aggregated first (partial sums before the
 shuffle) and joined back. A window over the word or the document would put every
 row of a frequent word, or of a huge document, in one task.
+
+Counts are used in several places of one plan. The conditions ``> 0`` below hold
+for every row; they make each use need the same columns, so that Spark finds the
+shuffles equal and texts are read, split and counted once.
 """
 
 from __future__ import annotations
@@ -20,12 +24,17 @@ from gramrank.operators.skew import spread_join
 
 def document_stats(counts: DataFrame) -> DataFrame:
     """``[doc_id, max_n, words]``: highest term count and number of distinct words."""
-    return counts.groupBy("doc_id").agg(F.max("n").alias("max_n"), F.count("*").alias("words"))
+    return (
+        counts.where("n > 0")
+        .groupBy("doc_id")
+        .agg(F.max("n").alias("max_n"), F.count("*").alias("words"))
+        .where("max_n > 0 and words > 0")
+    )
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
     """``[word, df]``: number of documents that have the word."""
-    return counts.groupBy("word").agg(F.count("*").alias("df"))
+    return counts.where("n > 0").groupBy("word").agg(F.count("*").alias("df"))
 
 
 def document_total(counts: DataFrame) -> DataFrame:
@@ -35,7 +44,7 @@ def document_total(counts: DataFrame) -> DataFrame:
 
 def term_frequency(counts: DataFrame) -> DataFrame:
     """``[doc_id, word, n, max_n, tf]``."""
-    joined = spread_join(counts, document_stats(counts), "doc_id", "words", ["word"])
+    joined = spread_join(counts.where("n > 0"), document_stats(counts), "doc_id", "words", ["word"])
     tf = F.lit(0.5) + F.lit(0.5) * (F.col("n") / F.col("max_n"))
     return joined.select("doc_id", "word", "n", "max_n", tf.alias("tf"))
 

@@ -59,3 +59,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than there are cores, over all cores.
+
+    A table of one file with one row group is read by one task, and all work up to
+    the next shuffle would stay there. Scans with enough splits are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -122,9 +122,11 @@ def parse_businesses(lines: DataFrame) -> DataFrame:
     parts = F.split(F.regexp_replace("value", r"(:\s+)+$", ""), r":\s+")
     fields = F.split(F.regexp_replace(F.get("parts", F.lit(1)), r"\s+$", ""), r"\s+")
     split_code = F.length("code").isin(3, 4)
+    # One-row explodes keep the split results as columns: filters set on the fields
+    # later would otherwise be pushed below and split the line once per condition.
     return (
-        lines.select(parts.alias("parts"))
-        .select("parts", fields.alias("fields"))
+        lines.select(F.explode(F.array(parts)).alias("parts"))
+        .select("parts", F.explode(F.array(fields)).alias("fields"))
         .select(
             F.get("parts", F.lit(0)).alias("name"),
             F.get("fields", F.lit(0)).alias("state"),
