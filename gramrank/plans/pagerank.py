@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 
 from gramrank import schemas
 from gramrank.operators.skew import PIECE_ROWS, add_salt, hot_keys, repeat_per_salt
-from gramrank.session import cut_lineage
+from gramrank.session import cut_lineage, shuffle_partitions
+
+# Edges per task below which fewer tasks are used, and above which more are.
+SMALL_TASK = 50_000
+LARGE_TASK = 5_000_000
 
 # Fixed value: page that the sub-graph ranking links every selected page to.
 HUB = "4290745"
@@ -48,15 +52,13 @@ def pagerank(
     if teleport not in ("share", "unit"):
         raise ValueError(f"unknown teleport {teleport!r}")
     spark = edges.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     named = edges.select("src", "dst").distinct().persist()
     if _has_number_ids(named):
         links = named.select(F.col("src").try_cast("bigint"), F.col("dst").try_cast("bigint"))
     else:
         links = named
     degrees = links.groupBy("src").agg(F.count("*").alias("deg")).persist()
-    sources, top_degree = degrees.agg(F.count("*"), F.max("deg")).first()
+    sources, total, top_degree = degrees.agg(F.count("*"), F.sum("deg"), F.max("deg")).first()
     if sources == 0:
         named.unpersist()
         degrees.unpersist()
@@ -76,34 +78,38 @@ def pagerank(
         def spread(df: DataFrame) -> DataFrame:
             return repeat_per_salt(df, hot, "src")
 
-    out_edges = (
-        salted_links.repartition(partitions, *keys)
-        .join(spread(degrees), keys)
-        .sortWithinPartitions(*keys)
-        .persist()
-    )
-    out_edges.count()
-    named.unpersist()
-
     start = 1.0 / sources
     target = start if teleport == "share" else 1.0
-    ranks = degrees.select(F.col("src").alias("id"), F.lit(start).alias("rank"))
-    for done in range(1, iterations + 1):
-        current = spread(ranks.withColumnRenamed("id", "src"))
-        passed = (
-            out_edges.join(current, keys)
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") / F.col("deg")).alias("received"))
+    received = F.sum(F.col("rank") / F.col("deg"))
+    if taxation:
+        received = F.lit((1.0 - damping) * target) + F.lit(damping) * received
+
+    partitions = _partitions(total, spark.sparkContext.defaultParallelism)
+    with shuffle_partitions(spark, partitions):
+        out_edges = (
+            salted_links.repartition(partitions, *keys)
+            .join(spread(degrees), keys)
+            .sortWithinPartitions(*keys)
+            .persist()
         )
-        rank = F.col("received")
-        if taxation:
-            rank = F.lit((1.0 - damping) * target) + F.lit(damping) * rank
-        ranks = passed.select("id", rank.alias("rank"))
-        if done % rounds_per_cut == 0 or done == iterations:
-            ranks = cut_lineage(ranks)
+        out_edges.count()
+        named.unpersist()
+
+        ranks = degrees.select("src", F.lit(start).alias("rank"))
+        for done in range(1, iterations + 1):
+            passed = out_edges.join(spread(ranks), keys).groupBy(F.col("dst").alias("src"))
+            ranks = passed.agg(received.alias("rank"))
+            if done % rounds_per_cut == 0 or done == iterations:
+                ranks = cut_lineage(ranks)
     out_edges.unpersist()
     degrees.unpersist()
-    return ranks.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"), "rank")
+    return ranks.select(F.coalesce(F.col("src").cast("string"), F.lit("")).alias("id"), "rank")
+
+
+def _partitions(edges: int, cores: int) -> int:
+    """Partitions for the rounds: all cores from some ten thousand edges each, and a
+    bounded number of edges per task however many there are."""
+    return max(min(cores, edges // SMALL_TASK + 1), edges // LARGE_TASK + 1)
 
 
 def _has_number_ids(links: DataFrame) -> bool:
@@ -146,8 +152,8 @@ def select_links(links: DataFrame, titles: DataFrame, pattern: str) -> DataFrame
 
 def add_hub(links: DataFrame, hub: str = HUB) -> DataFrame:
     """The given edges and one from every source to ``hub``; empty targets go."""
-    to_hub = links.select("src", F.lit(hub).alias("dst"))
-    return links.where(F.col("dst") != "").unionByName(to_hub).distinct()
+    targets = F.explode(F.array("dst", F.lit(hub)))
+    return links.select("src", targets.alias("dst")).where(F.col("dst") != "").distinct()
 
 
 def pagerank_bomb(

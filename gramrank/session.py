@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +71,16 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Shuffle into ``partitions`` within the block, for loops that join one kept
+    table over and over and size their partitions by it."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -1,0 +1,129 @@
+import plain
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gramrank.functions.text import letter_bucket, sentence_array, sentence_word_array
+from gramrank.operators import counts, profiles
+from gramrank.sources import text as X
+
+BODIES = [
+    "The cat – the hat. Is it? Yes!  No way",
+    "Tab\tjoined words.\x0bVertical\x0btab stays in a word",
+    "ÀÉ naïve Straße İstanbul Kelvin Ünï",
+    " leading and trailing ",
+    "... --- !!!",
+    "one. . two?  ! three",
+    "",
+]
+
+
+def test_word_count_keeps_words_of_which_nothing_is_left(lines):
+    found = {r["word"]: r["n"] for r in counts.word_count(lines(*BODIES)).collect()}
+    expected = plain.Counter(plain.clean(t) for body in BODIES for t in plain.tokens(body))
+    assert found == dict(expected)
+    assert "" in found
+
+
+def test_corpus_counts_drop_empty_words(spark):
+    articles = spark.createDataFrame([("d", body) for body in BODIES], "doc_id string, body string")
+    found = {r["word"]: r["n"] for r in counts.corpus_counts(articles).collect()}
+    assert found == dict(plain.Counter(w for body in BODIES for w in plain.words(body)))
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.text(st.characters(blacklist_categories=("Cs",)), max_size=60), min_size=1, max_size=30))
+def test_cleaning_equals_per_token_cleaning(lines, texts):
+    found = {r["word"]: r["n"] for r in counts.word_count(lines(*texts)).collect()}
+    expected = plain.Counter(plain.clean(t) for text in texts for t in plain.tokens(text))
+    assert found == dict(expected)
+
+
+def test_articles_with_any_number_of_delimiters(lines):
+    rows = X.parse_articles(
+        lines("no delimiter", "t<====>rest", "t<====>7<====>body", "t<====><====>b", "a<====>1<====>x<====>y")
+    ).collect()
+    assert [tuple(r) for r in rows] == [
+        (None, None, "no delimiter"),
+        ("t", None, "rest"),
+        ("t", "7", "body"),
+        ("t", "", "b"),
+        ("a", "1", "y"),
+    ]
+    kept = X.with_doc_id(X.parse_articles(lines("x", "t<====><====>b", "t<====>7<====>b")))
+    assert [r["doc_id"] for r in kept.collect()] == ["7"]
+
+
+def test_key_values_and_fields(lines):
+    assert [tuple(r) for r in X.parse_kv(lines("a\tb", "a", "a\tb\tc", "\tb")).collect()] == [
+        ("a", "b"),
+        ("a", ""),
+        ("a", "b\tc"),
+        ("", "b"),
+    ]
+    found = [r["fields"] for r in X.parse_fields(lines("a  b\tc ", " a", "a")).collect()]
+    assert found == [["a", "b", "c"], ["", "a"], ["a"]]
+
+
+def test_sentences_skip_blank_pieces_before_numbering(lines):
+    bodies = [*BODIES, "A. \t. B? C.", ". starts with an end", "x ====> y. z", "Last one."]
+    rows = lines(*bodies).select(
+        "value",
+        sentence_array(F.col("value")).alias("s"),
+        F.transform(sentence_array(F.col("value")), sentence_word_array).alias("w"),
+    )
+    for row in rows.collect():
+        assert row["s"] == plain.sentences(row["value"])
+        assert [set(w) - {""} for w in row["w"]] == [plain.sentence_words(s) for s in row["s"]]
+
+
+def test_letter_buckets(lines):
+    words = ["a", "d1", "e", "k", "l", "q", "r", "u", "v", "z", "", "7up", "Mix"]
+    found = [r[0] for r in lines(*words).select(letter_bucket(F.col("value"))).collect()]
+    assert found == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4, 0, 0, 2]
+
+
+@pytest.mark.parametrize("n", [1, 3, 500])
+def test_profiles(spark, n):
+    articles = [("10", "b a a –"), ("9", "c c b"), ("x y", "zzz"), ("91", "..."), (None, "q")]
+    df = spark.createDataFrame(articles, "doc_id string, body string")
+    vocabulary = sorted({plain.clean(t) for _, b in articles for t in plain.tokens(b)})
+    assert [r["word"] for r in profiles.profile_vocabulary(df, n).collect()] == vocabulary[:n]
+
+    corpus = plain.Counter(w for _, b in articles for w in plain.words(b))
+    by_count = sorted(corpus.items(), key=lambda item: (-item[1], item[0]))
+    assert [tuple(r) for r in profiles.profile_corpus(df, n).collect()] == by_count[:n]
+
+    rows = [("9", "c", 2), ("9", "b", 1), ("10", "a", 2), ("10", "b", 1)]
+    assert [tuple(r) for r in profiles.profile_doc_terms(df, n).collect()] == rows[:n]
+
+
+def test_line_ids_follow_the_file(spark, text_file):
+    path = text_file("titles.txt", *[f"title {i}" for i in range(1, 2001)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        titles = X.parse_titles(X.read_lines(spark, path))
+        assert X.read_lines(spark, path).rdd.getNumPartitions() > 3
+        assert {r["id"]: r["title"] for r in titles.collect()} == {
+            str(i): f"title {i}" for i in range(1, 2001)
+        }
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_line_ids_of_several_files_go_by_path(spark, text_file):
+    text_file("b.txt", "third", "fourth", "fifth, the longest of all lines")
+    folder = text_file("a.txt", "first", "second").rsplit("/", 1)[0]
+    titles = X.parse_titles(X.read_lines(spark, folder))
+    assert {r["id"]: r["title"].split(",")[0] for r in titles.collect()} == {
+        "1": "first",
+        "2": "second",
+        "3": "third",
+        "4": "fourth",
+        "5": "fifth",
+    }
