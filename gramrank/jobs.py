@@ -1,8 +1,9 @@
 """The analytics as command-line jobs over text files.
 
-    spark-submit jobs.py <job> <arguments>
+    spark-submit run_job.py <job> <arguments>
 
-A session made by ``spark-submit`` brings its own master and memory settings.
+``spark-submit`` brings master, memory and ``spark.checkpoint.dir``; in cluster mode
+pass this package with ``--py-files``.
 """
 
 from __future__ import annotations
@@ -118,6 +119,3 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"gramrank {args.job}")
     args.run(spark, args)
 
-
-if __name__ == "__main__":
-    main()

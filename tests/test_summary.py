@@ -1,9 +1,10 @@
+from functools import partial
+
 import plain
 import pytest
 from pyspark.sql import functions as F
 
 from gramrank.operators import skew
-from gramrank.operators.counts import term_counts
 from gramrank.plans import summary as S
 from gramrank.plans import tfidf as T
 from gramrank.sources.text import first_per_id
@@ -87,13 +88,26 @@ def test_a_hot_key_is_really_spread(spark):
     assert max(r["count"] for r in salts) < 200
 
 
-def test_texts_are_counted_once(articles, spark):
+def test_weights_with_cut_keys(articles, monkeypatch):
+    monkeypatch.setattr(T, "spread_join", partial(skew.spread_join, piece_rows=2))
+    found = {(r["doc_id"], r["word"]): r["tfidf"] for r in T.tf_idf(articles).collect()}
+    assert found == pytest.approx(plain.tf_idf(ARTICLES), abs=1e-12)
+
+
+def test_texts_are_read_once(articles, spark):
     """All uses of the counts in the TF-IDF plan share one shuffle."""
-    weights = T.tf_idf(articles)
-    weights.collect()
-    plan = weights._jdf.queryExecution().executedPlan().toString()
-    final = plan.split("== Initial Plan ==")[0]
-    assert "CartesianProduct" not in final
-    assert "Window" not in final
-    counts = term_counts(articles)
-    assert counts.columns == ["doc_id", "word", "n"]
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(body):
+        reads.add(1)
+        return body
+
+    T.tf_idf(articles.withColumn("body", noted("body"))).collect()
+    assert reads.value == len(ARTICLES)
+
+
+def test_no_window_over_words_or_documents(articles):
+    plan = T.tf_idf(articles)._jdf.queryExecution().toString()
+    assert "Window" not in plan
+    assert "Cartesian" not in plan
