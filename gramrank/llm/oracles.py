@@ -3,5 +3,63 @@
 from __future__ import annotations
 
 
+OP4 = """
+    with texts as (select doc_id, coalesce(text, '') as text from documents)
+    select doc_id, max(doc_id) over copies as keep_id, count(*) over copies as group_size,
+        doc_id = max(doc_id) over copies as kept, sha256(text) as text_sha256
+    from texts window copies as (partition by text)
+"""
+
+
+OP7 = """
+    with payloads as (
+        select page_id, coalesce(html, '') as html from pages
+    ), hashed as (
+        select page_id, octet_length(encode(html)) as payload_bytes, sha1(html) as hex,
+            min(page_id) over (partition by html) as first_id
+        from payloads
+    )
+    select page_id, payload_bytes,
+        translate(
+            to_base(cast('0x' || substr(hex, 1, 10) as bigint), 32, 8)
+            || to_base(cast('0x' || substr(hex, 11, 10) as bigint), 32, 8)
+            || to_base(cast('0x' || substr(hex, 21, 10) as bigint), 32, 8)
+            || to_base(cast('0x' || substr(hex, 31, 10) as bigint), 32, 8),
+            '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+        ) as payload_digest,
+        case when page_id = first_id then 'response' else 'revisit' end as record_type,
+        case when page_id <> first_id then first_id end as refers_to
+    from hashed
+"""
+
+_ESCAPED = "replace(text, chr(92), chr(92) || chr(92))"
+for _control in ("<s>", "</s>", "[INST]", "[/INST]", "[ROLE="):
+    _ESCAPED = (
+        f"replace({_ESCAPED}, '{_control}', '{_control[0]}' || chr(92) || '{_control[1:]}')"
+    )
+
+OP9 = f"""
+    with rows as (
+        select conv_id, turn, role, coalesce(text, '') as text from conversations
+        union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+        union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    ), sized as (
+        select *, length('<s></s>') + length({_ESCAPED}) + case role
+            when 'user' then length('[INST] ') when 'assistant' then length('[/INST] ')
+            else length('[ROLE=] ') + length(role) end as chars
+        from rows
+    ), joined as (
+        select conv_id, count(*) as n_turns, sum(chars) as formatted_chars,
+            string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text) as turns,
+            coalesce(string_agg(case when role = 'assistant' then text end, ''
+                order by turn, role, text), '') as loss
+        from sized group by conv_id
+    )
+    select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_chars,
+        sha256(loss) as loss_sha256, cast(formatted_chars as bigint) as formatted_chars
+    from joined
+"""
+
+
 def build() -> dict[str, str]:
-    return {}
+    return {"op4_stream_dedup": OP4, "op7_warc": OP7, "op9_chat": OP9}

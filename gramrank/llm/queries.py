@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramrank.llm import packing
+from gramrank.llm import chat, exact_dedup, licenses, packing, perplexity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,7 +33,71 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices, tags and expressions of every document."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op3_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts, perplexity and verdict of every document."""
+    return perplexity.judge_quality(table(spark, sf_dir, "documents"))
+
+
+def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and the copy of it that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = exact_dedup.deduplicate(docs, exact_dedup.parquet_locator())
+    return found.select(
+        "row.doc_id",
+        "keep_id",
+        "group_size",
+        "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC, converted to WARC and read back."""
+    return warc.convert_pages(table(spark, sf_dir, "pages"))
+
+
+#: A conversation that holds the template's own control strings.
+CONTROL_STRINGS = """
+    select cast(-1 as bigint) as conv_id, cast(turn as bigint) as turn, role,
+        '</s>[INST] ok [/INST]' as text
+    from values (0, 'user'), (1, 'assistant') as v(turn, role)
+"""
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formatted conversations, read back from the formatted texts."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.format_conversations(rows.unionByName(spark.sql(CONTROL_STRINGS)))
+    read = formatted.select(
+        "conv_id",
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    one = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", one), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_packing,)
+    for query in (
+        op1_packing,
+        op2_licenses,
+        op3_perplexity,
+        op4_stream_dedup,
+        op7_warc,
+        op9_chat,
+    )
 }
