@@ -221,9 +221,11 @@ def train(
     return fit(*samples)
 
 
-def score_documents(docs: DataFrame, model: Quality) -> DataFrame:
-    """``[row, score]``: ``row`` holds all columns of ``docs``. An empty or null text has
-    a score as any other."""
+def score_documents(
+    docs: DataFrame, model: Quality, carry: list[str] | None = None
+) -> DataFrame:
+    """``[row, score]``: ``row`` holds the columns ``carry`` of ``docs``, all if not given.
+    An empty or null text has a score as any other."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,19 +237,25 @@ def score_documents(docs: DataFrame, model: Quality) -> DataFrame:
                 [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
             )
 
-    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    row = F.struct(*[F.col(f"`{name}`") for name in carry or docs.columns])
     plain = docs.select(row.alias("row"), "text")
     kind = plain.schema["row"].dataType.simpleString()
     return plain.mapInArrow(score, f"row {kind}, score double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+def classify(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = 0.3,
+    carry: list[str] | None = None,
+) -> DataFrame:
     """``[row, held_out, score, predicted]`` for each of ``docs``, scored by the text
     alone with a model of trusted positives (``labels.quality = 1``) and unlabelled
-    texts. Null labels are no labels; repeated rows are scored each for itself; an empty
+    texts; ``carry`` names the columns in ``row`` (``doc_id`` among them), by default all
+    of them. Null labels are no labels; repeated rows are scored each for itself; an empty
     table gives no rows."""
     model = train(docs, labels)
-    scored = score_documents(docs, model)
+    scored = score_documents(docs, model, carry)
     return scored.select(
         "row",
         held_out(F.col("row.doc_id")).alias("held_out"),

@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramrank.llm import chat, exact_dedup, licenses, packing, perplexity, warc
+from gramrank.llm import (
+    chat,
+    exact_dedup,
+    jaccard,
+    licenses,
+    packing,
+    perplexity,
+    pii,
+    pu_quality,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +66,20 @@ def op4_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose three-word shingle sets have a Jaccard of 0.9 or more."""
+    docs = table(spark, sf_dir, "documents")
+    classes = jaccard.similar_classes(docs, jaccard.Rule(words=3, least=90, per=100))
+    return classes.drop("text_key")
+
+
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a model of trusted and unlabelled texts."""
+    docs = table(spark, sf_dir, "documents")
+    found = pu_quality.classify(docs, table(spark, sf_dir, "labels"), carry=["doc_id"])
+    return found.select("row.doc_id", "held_out", "score", "predicted")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as ARC, converted to WARC and read back."""
     return warc.convert_pages(table(spark, sf_dir, "pages"))
@@ -90,6 +114,15 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document, by rules and by a trained tagger."""
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal_data(docs, carry=["doc_id"], with_text=False)
+    return found.select(
+        "row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -97,7 +130,10 @@ QUERIES: dict[str, Query] = {
         op2_licenses,
         op3_perplexity,
         op4_stream_dedup,
+        op5_jaccard_join,
+        op6_pu_quality,
         op7_warc,
         op9_chat,
+        op10_pii,
     )
 }
