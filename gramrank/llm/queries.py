@@ -12,6 +12,7 @@ from gramrank.llm import (
     chat,
     exact_dedup,
     jaccard,
+    lattice,
     licenses,
     packing,
     perplexity,
@@ -23,6 +24,7 @@ from gramrank.llm import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,6 +87,18 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.convert_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text they decode to."""
+    model = lattice.load_model(PIECE_MODEL)
+    encoded = lattice.encode(table(spark, sf_dir, "documents"), model)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(lattice.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
+
+
 #: A conversation that holds the template's own control strings.
 CONTROL_STRINGS = """
     select cast(-1 as bigint) as conv_id, cast(turn as bigint) as turn, role,
@@ -133,6 +147,7 @@ QUERIES: dict[str, Query] = {
         op5_jaccard_join,
         op6_pu_quality,
         op7_warc,
+        op8_lattice,
         op9_chat,
         op10_pii,
     )
