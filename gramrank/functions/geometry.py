@@ -13,41 +13,37 @@ def distance(x: Column, y: Column, cx: Column | float, cy: Column | float) -> Co
     return F.sqrt(dx * dx + dy * dy)
 
 
-def _constants(values: Sequence[float | int]) -> Column:
-    return F.array(*[F.lit(value) for value in values])
+def _constants(values: Sequence[float | int], kind: str) -> Column:
+    """An array that is one text in the plan and one constant when it runs, however
+    many values it has."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
 
 
 def with_nearest(
     points: DataFrame, centroids: Sequence[tuple[int, float, float]]
 ) -> DataFrame:
     """``points`` with ``[centroid_id, cx, cy, d]`` of the nearest centroid; the first
-    one listed wins a tie.
+    one listed wins a tie. Points without coordinates are left out.
 
-    The centroids are constants in the row expression, one distance column each, so
-    assigning points needs neither a join nor a shuffle and compiles to plain
-    arithmetic. Meant for tens of centroids.
+    The centroids are constant arrays in the row expression, so assigning points needs
+    neither a join nor a shuffle, and the plan does not grow with their number.
     """
     own = points.columns
     ids, xs, ys = zip(*[(int(cid), float(cx), float(cy)) for cid, cx, cy in centroids])
-    names = [f"_d{place}" for place in range(len(ids))]
-    distances = {
-        name: distance(F.col("x"), F.col("y"), F.lit(cx), F.lit(cy))
-        for name, cx, cy in zip(names, xs, ys)
-    }
-    smallest = F.least(*names) if len(names) > 1 else F.col(names[0])
-    place = F.lit(len(names))
-    for position in range(len(names), 0, -1):
-        name = names[position - 1]
-        place = F.when(F.col(name) == F.col("d"), position).otherwise(place)
+    x, y = _constants(xs, "double"), _constants(ys, "double")
+    distances = F.zip_with(x, y, lambda cx, cy: distance(F.col("x"), F.col("y"), cx, cy))
+    nearest = F.array_min(
+        F.transform(distances, lambda d, place: F.struct(d.alias("d"), place.alias("place")))
+    )
+    chosen = F.col("_nearest.place") + 1
     return (
-        points.withColumns(distances)
-        .withColumn("d", smallest)
-        .select(*own, "d", place.alias("_place"))
+        points.dropna(subset=["x", "y"])
+        .withColumn("_nearest", nearest)
         .select(
             *own,
-            F.element_at(_constants(ids), F.col("_place")).alias("centroid_id"),
-            F.element_at(_constants(xs), F.col("_place")).alias("cx"),
-            F.element_at(_constants(ys), F.col("_place")).alias("cy"),
-            "d",
+            F.element_at(_constants(ids, "int"), chosen).alias("centroid_id"),
+            F.element_at(x, chosen).alias("cx"),
+            F.element_at(y, chosen).alias("cy"),
+            F.col("_nearest.d").alias("d"),
         )
     )

@@ -13,6 +13,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gramrank import schemas
 from gramrank.operators import counts, profiles
 from gramrank.plans import kmeans as K
 from gramrank.plans import listings as L
@@ -28,9 +29,16 @@ def _articles(spark: SparkSession, path: str) -> DataFrame:
     return X.parse_articles(X.read_lines(spark, path))
 
 
+def _write(rows: DataFrame, args: argparse.Namespace) -> None:
+    if args.format == "parquet":
+        sinks.write_table(rows, args.output, rows.schema, args.mode)
+    else:
+        sinks.write_kv(rows, args.output, args.mode)
+
+
 def word_count(spark: SparkSession, args: argparse.Namespace) -> None:
     counted = counts.word_count(X.read_lines(spark, args.input))
-    sinks.write_kv(counted, args.output, args.mode)
+    _write(counted, args)
 
 
 def profile(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -40,17 +48,17 @@ def profile(spark: SparkSession, args: argparse.Namespace) -> None:
         "doc-terms": profiles.profile_doc_terms,
         "corpus": profiles.profile_corpus,
     }[args.kind]
-    sinks.write_kv(report(articles, args.n), args.output, args.mode)
+    _write(report(articles, args.n), args)
 
 
 def tf_idf(spark: SparkSession, args: argparse.Namespace) -> None:
     weights = T.tf_idf(_articles(spark, args.input)).select("doc_id", "word", "tfidf")
-    sinks.write_kv(weights, args.output, args.mode)
+    _write(weights, args)
 
 
 def summaries(spark: SparkSession, args: argparse.Namespace) -> None:
     articles = X.first_per_id(X.with_doc_id(_articles(spark, args.input)))
-    sinks.write_kv(S.summarize(articles), args.output, args.mode)
+    _write(S.summarize(articles), args)
 
 
 def pagerank(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -62,6 +70,9 @@ def pagerank(spark: SparkSession, args: argparse.Namespace) -> None:
         taxation = args.variant == "taxed"
         titled = P.with_titles(P.pagerank(links, taxation=taxation), titles)
     top = P.top_ranked(titled, args.n)
+    if args.format == "parquet":
+        sinks.write_table(top, args.output, top.schema, args.mode)
+        return
     page = F.concat_ws(",", "id", "title").alias("page")
     sinks.write_tuples(top.select(page, "rank"), args.output, mode=args.mode)
 
@@ -69,20 +80,29 @@ def pagerank(spark: SparkSession, args: argparse.Namespace) -> None:
 def clusters(spark: SparkSession, args: argparse.Namespace) -> None:
     points = L.business_points(X.read_lines(spark, args.input), args.state1, args.state2)
     points = points.persist()
-    found = K.kmeans(points, args.k, args.rounds, args.seed)
-    sinks.write_tuples(found, args.output, ", ", args.mode)
-    points.unpersist()
+    try:
+        found = K.kmeans(points, args.k, args.rounds, args.seed)
+        if args.format == "parquet":
+            sinks.write_table(found, args.output, schemas.ASSIGNMENTS, args.mode)
+        else:
+            sinks.write_tuples(found, args.output, ", ", args.mode)
+    finally:
+        points.unpersist()
 
 
 def elbow(spark: SparkSession, args: argparse.Namespace) -> None:
     points = L.business_points(X.read_lines(spark, args.input), args.state1, args.state2)
     curve = K.elbow(points, args.k, args.rounds, args.restarts, args.seed)
-    sinks.write_tuples(curve, args.output, mode=args.mode)
+    if args.format == "parquet":
+        sinks.write_table(curve, args.output, schemas.ELBOW, args.mode)
+    else:
+        sinks.write_tuples(curve, args.output, mode=args.mode)
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="gramrank")
     top.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
+    top.add_argument("--format", default="text", choices=["text", "parquet"])
     jobs = top.add_subparsers(dest="job", required=True)
 
     def job(name: str, run, *positional: str) -> argparse.ArgumentParser:

@@ -26,8 +26,7 @@ def profile_doc_terms(articles: DataFrame, n: int = 500) -> DataFrame:
         & F.lower("body").rlike("[a-z0-9]")
     )
     last_ids = usable.select("doc_id").distinct().orderBy(F.desc("doc_id")).limit(n)
-    # At most n ids are broadcast.
-    counted = term_counts(usable.join(F.broadcast(last_ids), "doc_id", "left_semi"))
+    counted = term_counts(usable.join(last_ids, "doc_id", "left_semi"))
     return counted.orderBy(F.desc("doc_id"), F.desc("n"), F.desc("word")).limit(n)
 
 

@@ -1,19 +1,35 @@
-"""Random draws of rows."""
+"""Random draws of rows.
+
+The order rows are drawn in is that of a hash of the seed and the row's key, so a seed
+gives the same rows however the table is partitioned. Rows with equal keys are in no
+particular order among each other.
+"""
 
 from __future__ import annotations
 
 import random
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
-def sample_one(df: DataFrame, seed: int | None = None) -> DataFrame:
-    """One row, each with the same chance."""
-    return df.orderBy(F.rand(seed)).limit(1)
+def shuffled(seed: int, key: list[str]) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+
+
+def _seeded(seed: int | None) -> int:
+    return random.randrange(1 << 31) if seed is None else seed
+
+
+def sample_one(df: DataFrame, seed: int | None = None, key: list[str] | None = None) -> DataFrame:
+    """One row, each key with the same chance; ``key`` is all columns if not given."""
+    key = key or df.columns
+    return df.orderBy(shuffled(_seeded(seed), key), *key).limit(1)
 
 
-def draw_rows(df: DataFrame, draws: int, seed: int | None = None) -> list[Row]:
+def draw_rows(
+    df: DataFrame, draws: int, seed: int | None = None, key: list[str] | None = None
+) -> list[Row]:
     """``draws`` independent draws of one row each (a row may come up again).
 
     One pass brings at most ``draws`` rows in random order to the driver. Going
@@ -24,7 +40,8 @@ def draw_rows(df: DataFrame, draws: int, seed: int | None = None) -> list[Row]:
     total = df.count()
     if total == 0:
         raise ValueError("cannot draw from an empty table")
-    fresh = df.orderBy(F.rand(seed)).limit(min(draws, total)).collect()
+    seed, key = _seeded(seed), key or df.columns
+    fresh = df.orderBy(shuffled(seed, key), *key).limit(min(draws, total)).collect()
     chance = random.Random(seed)
     seen = 0
     drawn = []

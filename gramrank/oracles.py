@@ -168,11 +168,15 @@ listing_fields as (
 listings as (
     select parts[1] as name, fields[1] as state, fields[2] as code, fields[3] as second,
            len(parts) as n_parts, len(fields) as n_fields,
-           try_cast(case when length(fields[2]) in (3, 4) then fields[4] else fields[3] end
-                    as double) as stars,
-           try_cast(case when length(fields[2]) in (3, 4) then fields[5] else fields[4] end
-                    as double) as reviews
-    from listing_fields
+           case when isfinite(all_stars) then all_stars end as stars,
+           case when isfinite(all_reviews) then all_reviews end as reviews
+    from (
+        select *, try_cast(case when length(fields[2]) in (3, 4) then fields[4]
+                           else fields[3] end as double) as all_stars,
+               try_cast(case when length(fields[2]) in (3, 4) then fields[5]
+                        else fields[4] end as double) as all_reviews
+        from listing_fields
+    )
 )"""
 
 VALID = LISTINGS + """,
@@ -200,12 +204,12 @@ points as materialized (
 )"""
 
 
-def lloyd(k: int, rounds: int, tag: str) -> str:
+def lloyd(k: int, rounds: int, tag: str, order: str = "name") -> str:
     """``with`` clauses for the rounds of one run; ``near_<tag>_<round>`` holds the
     assignments and ``cent_<tag>_<round>`` the centroids used in them."""
     parts = [
-        f"cent_{tag}_1 as materialized (select row_number() over (order by name) - 1 as cid, "
-        f"x as cx, y as cy from points order by name limit {k})"
+        f"cent_{tag}_1 as materialized (select row_number() over (order by {order}) - 1 as cid, "
+        f"x as cx, y as cy from points order by {order} limit {k})"
     ]
     for done in range(1, rounds + 1):
         parts.append(
@@ -235,12 +239,20 @@ def build() -> dict[str, str]:
         for k in range(1, ELBOW_MAX_K + 1)
     )
     bucket = """cast(case
-        when word between 'e' and 'kz' and left(word, 1) between 'e' and 'k' then 1
+        when left(word, 1) between 'e' and 'k' then 1
         when left(word, 1) between 'l' and 'q' then 2
         when left(word, 1) between 'r' and 'u' then 3
         when left(word, 1) between 'v' and 'z' then 4
         else 0 end as integer)"""
-    bucket = bucket.replace("word between 'e' and 'kz' and ", "")
+    last_runs = ",\n".join(
+        lloyd(k, KMEANS_ROUNDS, f"r{k}", "name desc") for k in range(1, ELBOW_MAX_K + 1)
+    )
+    restart_rows = " union all ".join(
+        f"select cast({k} as integer) as k, round(((select sum(pow(d, 2)) "
+        f"from near_k{k}_{KMEANS_ROUNDS}) + (select sum(pow(d, 2)) "
+        f"from near_r{k}_{KMEANS_ROUNDS})) / {k}, 6) as sse"
+        for k in range(1, ELBOW_MAX_K + 1)
+    )
     selected_pages = SELECTED.format(links="links")
     selected_parsed = SELECTED.format(links="parsed_links")
     return {
@@ -263,6 +275,9 @@ def build() -> dict[str, str]:
             from documents""",
         "article_ids": "select distinct cast(doc_id as varchar) as doc_id "
         "from documents where doc_id % 5 > 1",
+        "unique_articles": f"""
+            select cast(doc_id // 3 as varchar) as doc_id, min({ONE_LINE}) as body
+            from documents group by doc_id // 3""",
         "key_values": f"""
             select case when doc_id % 3 = 0 then split_part({ONE_LINE}, chr(9), 1)
                         else cast(doc_id as varchar) end as key,
@@ -286,6 +301,8 @@ def build() -> dict[str, str]:
         "document_total": f"with {TERMS} select count(distinct doc_id) as n_docs from terms",
         "tf_idf": f"with {WEIGHTS} select doc_id, word, round(tf, 9) as tf, df, "
         "round(tfidf, 9) as tfidf from weights",
+        "tf_idf_cut_keys": f"with {WEIGHTS} select doc_id, word, round(tf, 9) as tf, df, "
+        "round(tfidf, 9) as tfidf from weights",
         "sentences": f"with {PIECES} select doc_id, cast(sid as integer) as sid, sentence "
         "from sentences",
         "sentence_words": f"with {SENTENCE_WORDS} select doc_id, cast(sid as integer) as sid, "
@@ -319,6 +336,8 @@ def build() -> dict[str, str]:
         "select id, round(rank, 9) as rank from final_ranks",
         "pagerank_taxed": f"with {LINKS},\n{rank_rounds('links', 24, True)} "
         "select id, round(rank, 9) as rank from final_ranks",
+        "pagerank_cut_sources": f"with {LINKS},\n{rank_rounds('links', 24, True)} "
+        "select id, round(rank, 9) as rank from final_ranks",
         "pagerank_unit": f"with {LINKS},\n{rank_rounds('links', 25, True, 'unit')} "
         "select id, round(rank, 6) as rank from final_ranks",
         "top_pages": f"with {LINKS}, {TITLES},\n{rank_rounds('links', 24, True)} "
@@ -352,6 +371,18 @@ def build() -> dict[str, str]:
         "kmeans_sse": clusters + "select cast(cid as integer) as centroid_id, "
         f"round(sum(pow(d, 2)), 6) as sse from {last} group by cid",
         "elbow_curve": f"with {VALID},\n{elbow_runs}\n{elbow_rows}",
+        "elbow_restarts": f"with {VALID},\n{elbow_runs},\n{last_runs}\n{restart_rows}",
+        "elbow_random": "select cast(k as integer) as k, true as bounded "
+        f"from range(1, {ELBOW_MAX_K + 1}) as t(k)",
+        "random_starts": "select cast(k as integer) as k, k as known_x, k as known_y "
+        f"from range(1, {ELBOW_MAX_K + 1}) as t(k)",
+        "random_point": f"with {VALID} select name, round(x, 9) as x, round(y, 9) as y "
+        "from points order by md5('5|' || name), name limit 1",
+        "clusters_sink": clusters + "select cast(cid as integer) as centroid_id, "
+        "round(cx, 6) as cx, round(cy, 6) as cy, name, round(x, 6) as x, round(y, 6) as y "
+        f"from {last}",
+        "parquet_sink": f"with {VALID} select name, round(x, 9) as x, round(y, 9) as y "
+        "from points",
         "kv_sink": f"with {CORPUS} select word, n from corpus",
         "tuple_sink": f"with {VALID} select name, round(x, 9) as x, round(y, 9) as y from points",
         "letter_sink": f"with {CORPUS} select {bucket} as bucket, word, n from corpus",

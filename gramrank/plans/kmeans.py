@@ -1,8 +1,8 @@
 """k-means in the plane with a fixed number of rounds, and the elbow curve.
 
-Centroids are few (k per run) and live on the driver between rounds; points stay
-where they are. A round is one pass: each point finds its nearest centroid within
-its row, and only k partial means per task are shuffled.
+Centroids (k per run) live on the driver between rounds; points stay where they are. A
+round is one pass in Arrow batches for all runs, and only k partial sums per task are
+shuffled. Points without coordinates take no part.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from gramrank.operators.sampling import draw_rows
 
 Centroids = list[tuple[int, float, float]]
 
+#: Distances a task holds at a time.
+HELD_DISTANCES = 1_000_000
+
 
 def assign(points: DataFrame, centroids: Sequence[tuple[int, float, float]]) -> DataFrame:
     """``[centroid_id, cx, cy, name, x, y, d]``: points with their nearest centroid
@@ -47,7 +50,7 @@ def draw_centroids(
     """Random starts, one list of k centroids for each k asked for. The x and the y
     of a centroid are drawn separately."""
     wanted = sum(ks)
-    drawn = draw_rows(points.select("x", "y"), 2 * wanted, seed)
+    drawn = draw_rows(points, 2 * wanted, seed)
     xs = iter([row["x"] for row in drawn[:wanted]])
     ys = iter([row["y"] for row in drawn[wanted:]])
     return [[(cid, next(xs), next(ys)) for cid in range(k)] for k in ks]
@@ -56,32 +59,34 @@ def draw_centroids(
 def _move(points: DataFrame, centroids: Centroids) -> Centroids:
     """One round: the mean points of the clusters around the given centroids. At most
     k rows come back; a centroid without points is gone."""
-    rows = centroid_means(with_nearest(points, centroids)).collect()
-    return sorted((row["centroid_id"], row["cx"], row["cy"]) for row in rows)
+    return _move_all(points, [centroids])[0][0]
 
 
 def _move_all(points: DataFrame, runs: list[Centroids]) -> tuple[list[Centroids], list[float]]:
     """One round for several runs in one pass over the points: the new centroids of
     each run, and the squared distances to the old ones summed up per run.
 
-    Many runs mean more distances per point than one compiled row expression can
-    hold, so they are taken in array batches here. A task keeps three sums and a
-    count per centroid and hands on one row for each.
+    A task keeps three sums and a count per centroid and hands on one row for each.
+    Points are taken in slices, so that the distances held at a time are bounded
+    whatever the number of centroids.
     """
     xs = [np.array([cx for _, cx, _ in run]) for run in runs]
     ys = [np.array([cy for _, _, cy in run]) for run in runs]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros((4, len(cx))) for cx in xs]
+        rows_at_once = max(1, HELD_DISTANCES // max(len(cx) for cx in xs))
         for batch in batches:
-            x, y = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for cx, cy, total in zip(xs, ys, totals):
-                dx, dy = x[:, None] - cx, y[:, None] - cy
-                d = np.sqrt(dx * dx + dy * dy)
-                place = d.argmin(axis=1)
-                near = d[np.arange(len(place)), place]
-                for row, weights in zip(total, (None, x, y, near * near)):
-                    row += np.bincount(place, weights, len(cx))
+            for low in range(0, batch.num_rows, rows_at_once):
+                part = batch.slice(low, rows_at_once)
+                x, y = part.column(0).to_numpy(), part.column(1).to_numpy()
+                for cx, cy, total in zip(xs, ys, totals):
+                    dx, dy = x[:, None] - cx, y[:, None] - cy
+                    d = np.sqrt(dx * dx + dy * dy)
+                    place = d.argmin(axis=1)
+                    near = d[np.arange(len(place)), place]
+                    for row, weights in zip(total, (None, x, y, near * near)):
+                        row += np.bincount(place, weights, len(cx))
         sizes = [len(cx) for cx in xs]
         yield pa.RecordBatch.from_pydict(
             {
@@ -128,14 +133,16 @@ def kmeans_centroids(
 ) -> Centroids:
     """The centroids that round ``max_iter`` assigns points to."""
     kept, ours = _cached(points)
-    if init is not None:
-        current: Centroids = [(cid, x, y) for cid, (x, y) in enumerate(init)]
-    else:
-        current = draw_centroids(kept, [k], seed)[0]
-    for _ in range(max_iter - 1):
-        current = _move(kept, current)
-    if ours:
-        kept.unpersist()
+    try:
+        if init is not None:
+            current: Centroids = [(cid, x, y) for cid, (x, y) in enumerate(init)]
+        else:
+            current = draw_centroids(points.dropna(subset=["x", "y"]), [k], seed)[0]
+        for _ in range(max_iter - 1):
+            current = _move(kept, current)
+    finally:
+        if ours:
+            kept.unpersist()
     return current
 
 
@@ -160,24 +167,35 @@ def elbow(
     restarts: int = 1,
     seed: int | None = None,
     init: Sequence[tuple[float, float]] | None = None,
+    starts: Sequence[Sequence[tuple[float, float]]] | None = None,
 ) -> DataFrame:
     """``[k, sse]`` for k = 1..max_k: squared distances of the last round summed
     over clusters and restarts, divided by k.
 
     All runs of all k share each pass, so the points are read ``max_iter`` times in
-    total. With ``init`` run k starts from its first k entries.
+    total. With ``init`` run k starts from its first k entries; ``starts`` gives such a
+    list for each restart.
     """
-    kept, ours = _cached(points)
+    if starts is None and init is not None:
+        starts = [init] * restarts
+    restarts = restarts if starts is None else len(starts)
     ks = [k for k in range(1, max_k + 1) for _ in range(restarts)]
-    if init is not None:
-        current = [[(cid, *init[cid]) for cid in range(k)] for k in ks]
-    else:
-        current = draw_centroids(kept, ks, seed)
-    sse: list[float] = [0.0 for _ in ks]
-    for _ in range(max_iter):
-        current, sse = _move_all(kept, current)
-    if ours:
-        kept.unpersist()
+    kept, ours = _cached(points)
+    try:
+        if starts is not None:
+            current = [
+                [(cid, *start[cid]) for cid in range(k)]
+                for k in range(1, max_k + 1)
+                for start in starts
+            ]
+        else:
+            current = draw_centroids(points.dropna(subset=["x", "y"]), ks, seed)
+        sse: list[float] = [0.0 for _ in ks]
+        for _ in range(max_iter):
+            current, sse = _move_all(kept, current)
+    finally:
+        if ours:
+            kept.unpersist()
     totals = {k: 0.0 for k in range(1, max_k + 1)}
     for k, value in zip(ks, sse):
         totals[k] += value

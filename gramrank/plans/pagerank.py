@@ -7,12 +7,14 @@ the first round, a page without out-links receives rank and passes none on.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramrank import schemas
 from gramrank.operators.skew import PIECE_ROWS, add_salt, hot_keys, repeat_per_salt
-from gramrank.session import cut_lineage, shuffle_partitions
+from gramrank.session import cut_lineage, new_shared_path, sibling_session
 
 # Edges per task below which fewer tasks are used, and above which more are.
 SMALL_TASK = 50_000
@@ -42,41 +44,41 @@ def pagerank(
     gives ``(1 - damping) * t + damping * sum``, where ``t`` is ``e`` for the
     teleport ``"share"`` and 1 for ``"unit"``.
 
-    Runs when called. Edges are kept partitioned and sorted by source, with the
-    out-degree on each edge, so a round joins them in place and shuffles only the
-    sums per target, pre-aggregated. Edges of a source with a large share of all
-    edges are spread over several tasks. Every ``rounds_per_cut`` rounds the ranks
-    are written to the checkpoint folder; a lost executor costs at most those
-    rounds.
+    Runs when called. One grouping by source gives the degrees, the totals and the form
+    of the ids. Edges are the only table kept, partitioned and sorted by source, with
+    the out-degree on each edge, so a round joins them in place and shuffles only the
+    sums per target, pre-aggregated. Edges of a source with a large share of all edges
+    are spread over several tasks. Every ``rounds_per_cut`` rounds the ranks are written
+    to the checkpoint folder, as is the result; a lost executor costs at most those
+    rounds. The number of partitions is set in a session of its own.
     """
     if teleport not in ("share", "unit"):
         raise ValueError(f"unknown teleport {teleport!r}")
     spark = edges.sparkSession
-    named = edges.select("src", "dst").distinct().persist()
-    if _has_number_ids(named):
-        links = named.select(F.col("src").try_cast("bigint"), F.col("dst").try_cast("bigint"))
-    else:
-        links = named
-    degrees = links.groupBy("src").agg(F.count("*").alias("deg")).persist()
-    sources, total, top_degree = degrees.agg(F.count("*"), F.sum("deg"), F.max("deg")).first()
+    named = edges.select("src", "dst").distinct()
+    degrees = cut_lineage(
+        named.groupBy("src").agg(
+            F.count("*").alias("deg"), F.bool_and(_number_ids()).alias("numbers")
+        )
+    )
+    sources, total, numbers = degrees.agg(
+        F.count("*"), F.sum("deg"), F.bool_and("numbers")
+    ).first()
     if sources == 0:
-        named.unpersist()
-        degrees.unpersist()
         return spark.createDataFrame([], schemas.RANKS)
 
-    if top_degree < piece_rows:
-        keys = ["src"]
-        salted_links = links
-
-        def spread(df: DataFrame) -> DataFrame:
-            return df
-    else:
-        keys = ["src", "_salt"]
-        hot = cut_lineage(hot_keys(degrees, "src", "deg", piece_rows))
-        salted_links = add_salt(links, hot, "src", ["dst"])
+    partitions = _partitions(total, spark.sparkContext.defaultParallelism)
+    session = sibling_session(spark, {"spark.sql.shuffle.partitions": str(partitions)})
+    id_type = "bigint" if numbers else "string"
+    links = _in(session, named).select(
+        F.col("src").try_cast(id_type), F.col("dst").try_cast(id_type)
+    )
+    degrees = _in(session, degrees).select(F.col("src").try_cast(id_type), "deg")
+    keys = ["src", "_salt"]
+    hot = cut_lineage(hot_keys(degrees, "src", "deg", piece_rows))
 
-        def spread(df: DataFrame) -> DataFrame:
-            return repeat_per_salt(df, hot, "src")
+    def spread(df: DataFrame) -> DataFrame:
+        return repeat_per_salt(df, hot, "src").repartition(partitions, *keys)
 
     start = 1.0 / sources
     target = start if teleport == "share" else 1.0
@@ -84,26 +86,37 @@ def pagerank(
     if taxation:
         received = F.lit((1.0 - damping) * target) + F.lit(damping) * received
 
-    partitions = _partitions(total, spark.sparkContext.defaultParallelism)
-    with shuffle_partitions(spark, partitions):
-        out_edges = (
-            salted_links.repartition(partitions, *keys)
-            .join(spread(degrees), keys)
-            .sortWithinPartitions(*keys)
-            .persist()
-        )
-        out_edges.count()
-        named.unpersist()
-
+    out_edges = (
+        add_salt(links, hot, "src", ["dst"])
+        .repartition(partitions, *keys)
+        .join(spread(degrees), keys)
+        .sortWithinPartitions(*keys)
+        .persist()
+    )
+    try:
         ranks = degrees.select("src", F.lit(start).alias("rank"))
         for done in range(1, iterations + 1):
             passed = out_edges.join(spread(ranks), keys).groupBy(F.col("dst").alias("src"))
             ranks = passed.agg(received.alias("rank"))
-            if done % rounds_per_cut == 0 or done == iterations:
+            if done % rounds_per_cut == 0 and done < iterations:
                 ranks = cut_lineage(ranks)
-    out_edges.unpersist()
-    degrees.unpersist()
-    return ranks.select(F.coalesce(F.col("src").cast("string"), F.lit("")).alias("id"), "rank")
+        path = new_shared_path(spark, "ranks")
+        ranks.select(
+            F.coalesce(F.col("src").cast("string"), F.lit("")).alias("id"), "rank"
+        ).write.parquet(path)
+    finally:
+        out_edges.unpersist()
+    return spark.read.schema(schemas.RANKS).parquet(path)
+
+
+def _in(session: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` as a table of another session of the same application."""
+    name = f"gramrank_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        return session.table(f"global_temp.{name}")
+    finally:
+        df.sparkSession.catalog.dropGlobalTempView(name)
 
 
 def _partitions(edges: int, cores: int) -> int:
@@ -112,16 +125,15 @@ def _partitions(edges: int, cores: int) -> int:
     return max(min(cores, edges // SMALL_TASK + 1), edges // LARGE_TASK + 1)
 
 
-def _has_number_ids(links: DataFrame) -> bool:
-    """True if all ids are whole numbers that survive being written as such, apart
-    from the empty target. They are then ranked as numbers (the empty target as
+def _number_ids() -> Column:
+    """True if both ids are whole numbers that survive being written as such, apart
+    from the empty target. If all are, they are ranked as numbers (the empty target as
     null, which passes nothing on), which is smaller to shuffle and join."""
 
     def number(name: str) -> Column:
         return F.coalesce(F.col(name).try_cast("bigint").cast("string") == F.col(name), F.lit(False))
 
-    fits = number("src") & (number("dst") | (F.col("dst") == ""))
-    return bool(links.agg(F.bool_and(fits)).first()[0])
+    return number("src") & (number("dst") | (F.col("dst") == ""))
 
 
 def with_titles(ranks: DataFrame, titles: DataFrame) -> DataFrame:
@@ -151,9 +163,9 @@ def select_links(links: DataFrame, titles: DataFrame, pattern: str) -> DataFrame
 
 
 def add_hub(links: DataFrame, hub: str = HUB) -> DataFrame:
-    """The given edges and one from every source to ``hub``; empty targets go."""
-    targets = F.explode(F.array("dst", F.lit(hub)))
-    return links.select("src", targets.alias("dst")).where(F.col("dst") != "").distinct()
+    """The distinct edges and one from every source to ``hub``; empty targets go."""
+    other = links.where((F.col("dst") != "") & (F.col("dst") != hub)).select("src", "dst")
+    return other.distinct().union(links.select("src").distinct().withColumn("dst", F.lit(hub)))
 
 
 def pagerank_bomb(
@@ -164,6 +176,8 @@ def pagerank_bomb(
     iterations: int = 24,
 ) -> DataFrame:
     """``[id, title, rank]`` with taxation over the links of the selected pages,
-    each of them with ``hub`` as one more target."""
+    each of them with ``hub`` as one more target. Titles are used twice, so they are
+    written to the checkpoint folder."""
+    titles = cut_lineage(titles)
     edges = add_hub(select_links(links, titles, pattern), hub)
     return with_titles(pagerank(edges, taxation=True, iterations=iterations), titles)

@@ -1,7 +1,9 @@
 """Extractive summaries: sentences scored by their best TF-IDF words.
 
 Ids must be unique here (``first_per_id`` makes them so): a sentence number means
-something within one body only.
+something within one body only. Texts are placed by id once; with terms placed alike, the
+join by document and word, both rankings and the join of the bodies need no further
+shuffle (``requireAllClusterKeysForCoPartition`` off, as ``build_session`` has it).
 """
 
 from __future__ import annotations
@@ -41,7 +43,8 @@ def sentence_weights(articles: DataFrame) -> DataFrame:
     """
     usable = with_doc_id(articles)
     weights = tf_idf(usable).select("doc_id", "word", "tfidf")
-    return sentence_words(usable).hint("merge").join(weights, ["doc_id", "word"])
+    placed = usable.select("doc_id", "body").repartition("doc_id")
+    return sentence_words(placed).hint("merge").join(weights, ["doc_id", "word"])
 
 
 def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
@@ -100,10 +103,10 @@ def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.collect_list("sid").alias("sids"))
     )
-    bodies = with_doc_id(articles).select("doc_id", "body")
+    bodies = with_doc_id(articles).select("doc_id", "body").repartition("doc_id")
     chosen = F.filter(
         sentence_array(F.col("body")), lambda _, sid: F.array_contains("sids", sid)
     )
-    return bodies.join(picked, "doc_id", "left").select(
+    return bodies.hint("merge").join(picked, "doc_id", "left").select(
         "doc_id", F.coalesce(join_sentences(chosen), F.lit("")).alias("summary")
     )

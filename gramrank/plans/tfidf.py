@@ -4,9 +4,9 @@
 ``df`` the number of documents that have the word and ``N`` the number of
 documents that have any word.
 
-Per-document and per-word figures are aggregated first (partial sums before the
-shuffle) and joined back. A window over the word or the document would put every
-row of a frequent word, or of a huge document, in one task.
+Document frequencies are aggregated first (partial sums before the shuffle) and joined
+back, very frequent words in pieces. A document's terms are then brought together by its
+id alone, for its highest count, and stay so for whatever is joined to them by document.
 
 Counts are used in several places of one plan. The conditions ``> 0`` below hold
 for every row; they make each use need the same columns, so that Spark finds the
@@ -15,11 +15,12 @@ shuffles equal and texts are read, split and counted once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gramrank.operators.counts import term_counts
-from gramrank.operators.skew import spread_join
+from gramrank.operators.skew import PIECE_ROWS, spread_join
 
 
 def document_stats(counts: DataFrame) -> DataFrame:
@@ -42,24 +43,33 @@ def document_total(counts: DataFrame) -> DataFrame:
     return document_stats(counts).agg(F.count("*").alias("n_docs"))
 
 
+def _with_highest(terms: DataFrame) -> DataFrame:
+    """``terms`` with ``max_n``, the highest count of the document. A document's terms
+    are brought together, at most its vocabulary, as its text was in one row."""
+    document = W.partitionBy("doc_id")
+    return terms.where("n > 0").withColumn("max_n", F.max("n").over(document))
+
+
+def _tf() -> Column:
+    return F.lit(0.5) + F.lit(0.5) * (F.col("n") / F.col("max_n"))
+
+
 def term_frequency(counts: DataFrame) -> DataFrame:
     """``[doc_id, word, n, max_n, tf]``."""
-    joined = spread_join(counts.where("n > 0"), document_stats(counts), "doc_id", "words", ["word"])
-    tf = F.lit(0.5) + F.lit(0.5) * (F.col("n") / F.col("max_n"))
-    return joined.select("doc_id", "word", "n", "max_n", tf.alias("tf"))
+    return _with_highest(counts).select("doc_id", "word", "n", "max_n", _tf().alias("tf"))
 
 
-def tf_idf(articles: DataFrame) -> DataFrame:
-    """``[doc_id, word, tf, df, tfidf]`` of articles with an id."""
+def tf_idf(articles: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``[doc_id, word, tf, df, tfidf]`` of articles with an id, placed by id."""
     counts = term_counts(articles.where(F.col("doc_id").isNotNull()))
     joined = spread_join(
-        term_frequency(counts), document_frequency(counts), "word", "df", ["doc_id"]
+        counts.where("n > 0"), document_frequency(counts), "word", "df", ["doc_id"], piece_rows
     )
     n_docs = document_total(counts).scalar()
-    return joined.select(
+    return _with_highest(joined).select(
         "doc_id",
         "word",
-        "tf",
+        _tf().alias("tf"),
         "df",
-        (F.col("tf") * F.log10(n_docs / F.col("df"))).alias("tfidf"),
+        (_tf() * F.log10(n_docs / F.col("df"))).alias("tfidf"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramrank import tables
+from gramrank import schemas, tables
 from gramrank.operators import counts as C
 from gramrank.operators import profiles
 from gramrank.operators.sampling import sample_one
@@ -22,9 +22,11 @@ from gramrank.sources import text as X
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-KMEANS_K = 4
-KMEANS_ROUNDS = 5
-ELBOW_MAX_K = 4
+KMEANS_K = 9
+KMEANS_ROUNDS = 10
+ELBOW_MAX_K = 9
+#: Rows of a piece where joins are to cut keys in tables of any size.
+SMALL_PIECE = 20
 PATTERN = "%widget%"
 HUB = "7"
 
@@ -75,6 +77,11 @@ def article_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.parse_articles(tables.article_lines(spark, sf_dir))
 
 
+def unique_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = X.parse_articles(tables.repeated_article_lines(spark, sf_dir))
+    return X.first_per_id(X.with_doc_id(parsed)).select("doc_id", "body")
+
+
 def article_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.first_per_id(X.with_doc_id(article_fields(spark, sf_dir))).select("doc_id")
 
@@ -109,6 +116,11 @@ def tf_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(T.tf_idf(tables.articles(spark, sf_dir)), tf=9, tfidf=9)
 
 
+def tf_idf_cut_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = T.tf_idf(tables.articles(spark, sf_dir), SMALL_PIECE)
+    return rounded(weights, tf=9, tfidf=9)
+
+
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sentences(tables.line_articles(spark, sf_dir))
 
@@ -177,6 +189,11 @@ def pagerank_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(ranks, rank=6)
 
 
+def pagerank_cut_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = tables.page_links(spark, sf_dir)
+    return rounded(P.pagerank(links, taxation=True, piece_rows=SMALL_PIECE), rank=9)
+
+
 def top_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = P.pagerank(tables.page_links(spark, sf_dir), taxation=True)
     titled = P.with_titles(ranks, page_titles(spark, sf_dir))
@@ -222,8 +239,9 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.business_points(tables.listing_lines(spark, sf_dir))
 
 
-def _first_points(points: DataFrame, k: int) -> list[tuple[float, float]]:
-    rows = points.orderBy("name").limit(k).collect()
+def _first_points(points: DataFrame, k: int, last: bool = False) -> list[tuple[float, float]]:
+    order = F.desc("name") if last else F.asc("name")
+    rows = points.orderBy(order).limit(k).collect()
     return [(row["x"], row["y"]) for row in rows]
 
 
@@ -260,12 +278,37 @@ def elbow_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(K.elbow(points, ELBOW_MAX_K, KMEANS_ROUNDS, init=start), sse=6)
 
 
+def elbow_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = _points(spark, sf_dir)
+    starts = [_first_points(points, ELBOW_MAX_K), _first_points(points, ELBOW_MAX_K, last=True)]
+    return rounded(K.elbow(points, ELBOW_MAX_K, KMEANS_ROUNDS, starts=starts), sse=6)
+
+
 def elbow_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return K.elbow(_points(spark, sf_dir), 3, 3, restarts=3, seed=11)
+    """What holds for the curve of any random starts: a value for each k, none above that
+    of one cluster by more than the division by k allows."""
+    curve = K.elbow(_points(spark, sf_dir), ELBOW_MAX_K, KMEANS_ROUNDS, restarts=3, seed=11)
+    whole = curve.where("k = 1").select(F.col("sse")).scalar()
+    bounded = F.col("sse").between(0, whole / F.col("k") * 1.000001)
+    return curve.select("k", bounded.alias("bounded"))
+
+
+def random_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each k, how many coordinates of drawn centroids are those of points."""
+    points = _points(spark, sf_dir)
+    drawn = K.draw_centroids(points, range(1, ELBOW_MAX_K + 1), seed=11)
+    rows = [(len(run), x, y) for run in drawn for _, x, y in run]
+    starts = spark.createDataFrame(rows, "k int, x double, y double")
+    xs = points.select("x").distinct().withColumn("has_x", F.lit(1))
+    ys = points.select("y").distinct().withColumn("has_y", F.lit(1))
+    found = starts.join(xs, "x", "left").join(ys, "y", "left")
+    return found.groupBy("k").agg(
+        F.count("has_x").alias("known_x"), F.count("has_y").alias("known_y")
+    )
 
 
 def random_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_one(_points(spark, sf_dir), seed=5)
+    return rounded(sample_one(_points(spark, sf_dir), seed=5, key=["name"]), x=9, y=9)
 
 
 # Sinks, read back
@@ -285,6 +328,21 @@ def tuple_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(results.parse_points(X.read_lines(spark, path)), x=9, y=9)
 
 
+def clusters_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "clusters")
+    points = _points(spark, sf_dir)
+    start = _first_points(points, KMEANS_K)
+    sinks.write_tuples(K.kmeans(points, KMEANS_K, KMEANS_ROUNDS, init=start), path, ", ")
+    found = results.parse_assignments(X.read_lines(spark, path))
+    return rounded(found, cx=6, cy=6, x=6, y=6)
+
+
+def parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_shared_path(spark, "points")
+    sinks.write_table(_points(spark, sf_dir), path, schemas.POINTS)
+    return rounded(results.read_table(spark, path, schemas.POINTS), x=9, y=9)
+
+
 def letter_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_shared_path(spark, "letters")
     sinks.write_by_letter(corpus_counts(spark, sf_dir), path)
@@ -318,12 +376,14 @@ QUERIES: dict[str, Query] = {
         letter_buckets,
         article_fields,
         article_ids,
+        unique_articles,
         key_values,
         line_fields,
         term_frequency,
         document_frequency,
         document_total,
         tf_idf,
+        tf_idf_cut_keys,
         sentences,
         sentence_words,
         sentence_weights,
@@ -338,6 +398,7 @@ QUERIES: dict[str, Query] = {
         pagerank_ideal,
         pagerank_taxed,
         pagerank_unit,
+        pagerank_cut_sources,
         top_pages,
         selected_links,
         hub_links,
@@ -351,10 +412,14 @@ QUERIES: dict[str, Query] = {
         kmeans_means,
         kmeans_sse,
         elbow_curve,
+        elbow_restarts,
         elbow_random,
+        random_starts,
         random_point,
         kv_sink,
         tuple_sink,
+        clusters_sink,
+        parquet_sink,
         letter_sink,
         saved_clusters,
         saved_elbow,

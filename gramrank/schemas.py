@@ -36,11 +36,14 @@ POINTS = T.StructType(
     ]
 )
 
-CENTROIDS = T.StructType(
+ASSIGNMENTS = T.StructType(
     [
         T.StructField("centroid_id", T.IntegerType()),
         T.StructField("cx", T.DoubleType()),
         T.StructField("cy", T.DoubleType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("x", T.DoubleType()),
+        T.StructField("y", T.DoubleType()),
     ]
 )
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,6 +18,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Two sides that lie by document are joined by document and word in place.
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
@@ -32,22 +32,30 @@ def build_session(
     return builder.getOrCreate()
 
 
+def sibling_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session like ``spark`` with further settings, which ``spark`` does not see."""
+    session = spark.newSession()
+    for row in spark.sql("SET").collect():
+        try:
+            session.conf.set(row["key"], row["value"])
+        except AnalysisException:
+            continue  # fixed when the application starts, so the same in both
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can read, taken from ``spark.checkpoint.dir``.
 
-    A folder of our own is made only where none is configured and the session
-    is local (tests); on a cluster a missing setting is an error, since a
-    machine-local folder would lose checkpoints with the machine.
-    """
+    There is no default: a machine-local folder would be lost with its machine."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="gramrank-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 
@@ -61,26 +69,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Rows of a scan with fewer splits than there are cores, over all cores.
-
-    A table of one file with one row group is read by one task, and all work up to
-    the next shuffle would stay there. Scans with enough splits are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-@contextmanager
-def shuffle_partitions(spark: SparkSession, partitions: int) -> Iterator[None]:
-    """Shuffle into ``partitions`` within the block, for loops that join one kept
-    table over and over and size their partitions by it."""
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(partitions))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)

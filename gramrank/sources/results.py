@@ -6,8 +6,11 @@ entry and the name is everything before them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from gramrank import schemas
 
 _NUMBER = r"[-+0-9.eE]+"
 _ENTRY = rf"^[(]?(.*), ({_NUMBER}), ({_NUMBER})[)]*$"
@@ -23,7 +26,32 @@ def _entry_fields(entry: Column, prefix: str = "") -> list[Column]:
 
 def parse_points(lines: DataFrame) -> DataFrame:
     """``[name, x, y]`` from ``(name, x, y)`` lines."""
-    return lines.where(F.col("value").rlike(_ENTRY)).select(*_entry_fields(F.col("value")))
+    found = lines.where(F.col("value").rlike(_ENTRY)).select(*_entry_fields(F.col("value")))
+    return found.to(schemas.POINTS)
+
+
+def parse_assignments(lines: DataFrame) -> DataFrame:
+    """``[centroid_id, cx, cy, name, x, y]`` from ``(centroid_id, cx, cy, name, x, y)``
+    lines, as the clusters job writes them."""
+    head = rf"^[(]([0-9]+), ({_NUMBER}), ({_NUMBER}), (.*), ({_NUMBER}), ({_NUMBER})[)]$"
+    part = lambda i: F.regexp_extract("value", head, i)
+    return (
+        lines.where(F.col("value").rlike(head))
+        .select(
+            part(1).try_cast("int").alias("centroid_id"),
+            part(2).try_cast("double").alias("cx"),
+            part(3).try_cast("double").alias("cy"),
+            part(4).alias("name"),
+            part(5).try_cast("double").alias("x"),
+            part(6).try_cast("double").alias("y"),
+        )
+        .to(schemas.ASSIGNMENTS)
+    )
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Results written by ``write_table``, with the schema they must have."""
+    return spark.read.parquet(path).to(schema)
 
 
 def parse_elbow(lines: DataFrame) -> DataFrame:
@@ -31,7 +59,7 @@ def parse_elbow(lines: DataFrame) -> DataFrame:
     pair = F.split(F.regexp_replace("value", "^[(]|[)]$", ""), ",")
     return lines.select(
         F.get(pair, 0).try_cast("int").alias("k"), F.get(pair, 1).try_cast("double").alias("sse")
-    )
+    ).to(schemas.ELBOW)
 
 
 def parse_clusters(lines: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gramrank.functions.text import letter_bucket
 
@@ -32,6 +33,13 @@ def write_tuples(
     tuple_lines(df, separator).write.mode(mode).text(path)
 
 
+def write_table(
+    df: DataFrame, path: str, schema: StructType, mode: str = "errorifexists"
+) -> None:
+    """Typed results as Parquet; rows that do not fit the schema are an error."""
+    df.to(schema).write.mode(mode).parquet(path)
+
+
 def write_by_letter(
     df: DataFrame, path: str, word: str = "word", mode: str = "errorifexists"
 ) -> None:

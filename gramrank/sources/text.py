@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gramrank import schemas
@@ -19,7 +19,7 @@ def parse_kv(lines: DataFrame) -> DataFrame:
     parts = F.split("value", "\t", 2)
     return lines.select(
         F.get(parts, 0).alias("key"), F.coalesce(F.get(parts, 1), F.lit("")).alias("value")
-    )
+    ).to(schemas.KEY_VALUES)
 
 
 def read_kv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -49,7 +49,7 @@ def parse_articles(lines: DataFrame) -> DataFrame:
         F.when(F.size(head) >= 2, F.get(head, 0)).alias("title"),
         F.when(F.size(head) == 3, F.get(head, 1)).alias("doc_id"),
         F.substring_index("value", DELIMITER, -1).alias("body"),
-    )
+    ).to(schemas.ARTICLES)
 
 
 def with_doc_id(articles: DataFrame) -> DataFrame:
@@ -58,8 +58,13 @@ def with_doc_id(articles: DataFrame) -> DataFrame:
 
 
 def first_per_id(articles: DataFrame) -> DataFrame:
-    """One article per id, for inputs in which ids occur more than once."""
-    return articles.dropDuplicates(["doc_id"])
+    """One article per id, for inputs in which ids occur more than once: the one whose
+    body comes first in byte order, then by its other columns."""
+    others = [name for name in articles.columns if name not in ("doc_id", "body")]
+    first = articles.groupBy("doc_id").agg(F.min(F.struct("body", *others)).alias("first"))
+    return first.select(
+        *[F.col(c if c == "doc_id" else f"first.{c}").alias(c) for c in articles.columns]
+    )
 
 
 def parse_links(lines: DataFrame) -> DataFrame:
@@ -71,7 +76,8 @@ def parse_links(lines: DataFrame) -> DataFrame:
     lone = F.size(parts) < 2
     src = F.when(lone, F.regexp_replace(F.get(parts, 0), ":$", "")).otherwise(F.get(parts, 0))
     neighbours = F.split(F.when(lone, "").otherwise(F.get(parts, 1)), r"\s+")
-    return lines.select(src.alias("src"), F.explode(neighbours).alias("dst")).distinct()
+    edges = lines.select(src.alias("src"), F.explode(neighbours).alias("dst"))
+    return edges.to(schemas.EDGES).distinct()
 
 
 def with_line_ids(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -81,34 +87,39 @@ def with_line_ids(lines: DataFrame, value: str = "value") -> DataFrame:
     read in order by one task, so the number is the split's offset plus the
     position in the split. Offsets come from one counting pass that yields a row
     per split, ordered by file path and position in the file; more than one file
-    is numbered in path order. What is broadcast is one row per input split, a
-    list the driver holds anyway in order to schedule the scan.
+    is numbered in path order. A split is known by a hash of its file and position;
+    how the offsets reach the lines is left to Spark.
     """
     tagged = lines.select(
         F.col(value).alias("value"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
+        F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_position"),
     )
-    splits = tagged.groupBy("_file", "_start").agg(
+    splits = tagged.groupBy("_split", "_file", "_start").agg(
         F.count("*").alias("_rows"), F.min("_position").alias("_first")
     )
     offsets = splits.selectExpr(
-        "_file",
-        "_start",
+        "_split",
         "_first",
         "coalesce(sum(_rows) over (order by _file, _start "
         "rows between unbounded preceding and 1 preceding), 0) as _offset",
     )
     line_number = F.col("_offset") + F.col("_position") - F.col("_first") + 1
-    return tagged.join(F.broadcast(offsets), ["_file", "_start"]).select(
+    return tagged.join(offsets, "_split").select(
         line_number.cast("string").alias("id"), "value"
     )
 
 
 def parse_titles(lines: DataFrame) -> DataFrame:
     """``[id, title]``: one title per line, the id is the line number."""
-    return with_line_ids(lines).withColumnRenamed("value", "title")
+    return with_line_ids(lines).withColumnRenamed("value", "title").to(schemas.TITLES)
+
+
+def _finite(field: Column) -> Column:
+    number = field.try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def parse_businesses(lines: DataFrame) -> DataFrame:
@@ -117,7 +128,7 @@ def parse_businesses(lines: DataFrame) -> DataFrame:
 
     ``code`` is the first part of the postal code and ``second`` the field after
     it, which is the second part for codes of three or four characters. Numbers
-    that cannot be read are null. Nothing is filtered here.
+    that cannot be read, or are not finite, are null. Nothing is filtered here.
     """
     parts = F.split(F.regexp_replace("value", r"(:\s+)+$", ""), r":\s+")
     fields = F.split(F.regexp_replace(F.get("parts", F.lit(1)), r"\s+$", ""), r"\s+")
@@ -141,8 +152,8 @@ def parse_businesses(lines: DataFrame) -> DataFrame:
             "state",
             "code",
             "second",
-            F.get("fields", F.when(split_code, 3).otherwise(2)).try_cast("double").alias("stars"),
-            F.get("fields", F.when(split_code, 4).otherwise(3)).try_cast("double").alias("reviews"),
+            _finite(F.get("fields", F.when(split_code, 3).otherwise(2))).alias("stars"),
+            _finite(F.get("fields", F.when(split_code, 4).otherwise(3))).alias("reviews"),
             "n_parts",
             "n_fields",
         )

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gramrank.session import spread_small_input
-
 # Business listing lines, in SQL that means the same to Spark and to the checking
 # engine: five-digit codes, codes in two parts, and lines that must be rejected.
 LISTING_SQL = """
@@ -34,8 +32,12 @@ LISTING_SQL = """
         else lpad(cast((c_custkey * 7919) % 100000 as string), 5, '0') || chr(9)
     end
     || case when c_custkey % 100 = 19 then 'many'
+        when c_custkey % 100 = 39 then 'NaN'
+        when c_custkey % 100 = 49 then 'Infinity'
         else cast(1 + (c_custkey % 9) * 0.5 as string) end || chr(9)
-    || cast(cast(floor(abs(c_acctbal)) as bigint) % 400 as string)
+    || case when c_custkey % 100 = 59 then 'NaN'
+        when c_custkey % 100 = 69 then 'Infinity'
+        else cast(cast(floor(abs(c_acctbal)) as bigint) % 400 as string) end
     || case when c_custkey % 100 = 29 then '' else chr(9) || 'Food, Coffee & Tea' end
 """
 
@@ -46,10 +48,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as ``[doc_id, body]``."""
-    documents = table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("body")
     )
-    return spread_small_input(documents)
 
 
 def line_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,14 @@ def article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_article_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article records of which three at a time have one id and different bodies."""
+    doc_id = F.floor(F.col("doc_id") / 3).cast("string")
+    return table(spark, sf_dir, "documents").select(
+        F.concat_ws("<====>", "source", doc_id, one_line("text")).alias("value")
+    )
+
+
 def kv_source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tab-separated lines with no, one or two tabs in front of the text."""
     text, doc_id = one_line("text"), F.col("doc_id")
@@ -103,7 +112,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(part.alias("src"), supplier.alias("dst")),
         F.struct(supplier.alias("src"), part.alias("dst")),
     )
-    items = spread_small_input(table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey"))
+    items = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
     return items.select(F.inline(both))
 
 
@@ -118,7 +127,7 @@ def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = spread_small_input(table(spark, sf_dir, "customer"))
+    customers = table(spark, sf_dir, "customer")
     return customers.selectExpr(f"{LISTING_SQL} as value")
 
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gramrank.operators.sampling import draw_rows, sample_one
 from gramrank.plans import kmeans as K
@@ -73,6 +74,10 @@ def test_states(lines):
         "Shop: AB\t89002\tmany\t24\tFood",
         "Shop: AB\t89002\t4.0\tfew\tFood",
         "Shop: AB\t89002\t4.0\t0\tFood",
+        "Shop: AB\t89002\tNaN\t24\tFood",
+        "Shop: AB\t89002\tInfinity\t24\tFood",
+        "Shop: AB\t89002\t4.0\tNaN\tFood",
+        "Shop: AB\t89002\t4.0\tInfinity\tFood",
         "no separator at all",
         "Shop: ",
         "",
@@ -151,6 +156,42 @@ def test_rounds_equal_plain_rounds(spark, k):
     assert [pytest.approx(c) for c in moved[0]] == single
 
 
+def test_a_thousand_centroids(spark):
+    """The plan does not grow with k, and a round is no slower to plan."""
+    df = spark.range(3000).select(
+        F.col("id").cast("string").alias("name"),
+        (F.col("id") % 97).cast("double").alias("x"),
+        (F.col("id") % 89).cast("double").alias("y"),
+    )
+    start = [(float(i % 97) + 0.25, float(i % 89)) for i in range(1000)]
+    expected = lloyd([(r["x"], r["y"]) for r in df.collect()], start, 2)
+    found = K.kmeans(df, 1000, 2, init=start)
+    rows = found.groupBy("centroid_id").agg(F.count("*").alias("n")).collect()
+    assert {r["centroid_id"]: r["n"] for r in rows} == {c: n for c, (_, n) in expected.items()}
+
+
+def test_points_without_coordinates_take_no_part(spark):
+    rows = [("a", 1.0, 1.0), ("b", 3.0, 3.0), ("c", None, 2.0), ("d", 2.0, None)]
+    df = spark.createDataFrame(rows, "name string, x double, y double")
+    found = K.kmeans(df, 2, 3, init=[(1.0, 1.0), (3.0, 3.0)]).collect()
+    assert sorted(r["name"] for r in found) == ["a", "b"]
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 4])
+def test_a_seed_draws_the_same_rows_in_any_partitioning(spark, partitions):
+    df = spark.range(1000).repartition(partitions)
+    assert sample_one(df, 5).first() == sample_one(spark.range(1000), 5).first()
+    assert draw_rows(df, 50, 5) == draw_rows(spark.range(1000), 50, 5)
+
+
+def test_starts_of_each_restart(points):
+    order = in_order(points)
+    both = K.elbow(points, 2, 3, starts=[order[:2], order[::-1][:2]]).collect()
+    each = [K.elbow(points, 2, 3, init=s).collect() for s in (order[:2], order[::-1][:2])]
+    for k in range(2):
+        assert both[k]["sse"] == pytest.approx(each[0][k]["sse"] + each[1][k]["sse"])
+
+
 def test_sse_does_not_rise(points):
     start = in_order(points)[:3]
     values = [

@@ -96,6 +96,21 @@ def test_subgraph_with_hub(spark, links):
     assert [(r["id"], r["title"]) for r in titled] == [("3", "surfing")]
 
 
+def test_nothing_is_left_behind(spark, links):
+    """No cached table, no changed setting, no view."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    kept = len(spark.sparkContext._jsc.getPersistentRDDs())
+    P.pagerank(links, iterations=3).collect()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == kept
+    assert spark.catalog.listTables("global_temp") == []
+
+
+def test_hub_links_are_added_once(spark):
+    df = spark.createDataFrame([("1", "2"), ("1", "9"), ("3", "")], "src string, dst string")
+    assert sorted(map(tuple, P.add_hub(df, "9").collect())) == [("1", "2"), ("1", "9"), ("3", "9")]
+
+
 def test_top_list_breaks_ties_by_id(spark):
     ranks = spark.createDataFrame([("4", 0.1), ("2", 0.1), ("3", 0.7), ("1", 0.0)], "id string, rank double")
     assert [r["id"] for r in P.top_ranked(ranks, 3).collect()] == ["3", "2", "4"]

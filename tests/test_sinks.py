@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from gramrank import jobs
+from gramrank import jobs, schemas
 from gramrank.session import new_shared_path, shared_dir
 from gramrank.sources import results, sinks
 from gramrank.sources import text as X
@@ -99,4 +99,9 @@ def test_jobs(spark, text_file, tmp_path):
     run(spark, "clusters", shops, out("clusters"), "--k", "2", "--seed", "1")
     run(spark, "elbow", shops, out("elbow"), "--k", "2", "--rounds", "2", "--seed", "1")
     assert X.read_lines(spark, out("clusters")).count() == 6
+    saved = results.parse_assignments(X.read_lines(spark, out("clusters")))
+    assert sorted(r["name"] for r in saved.collect()) == [f"S{i}" for i in range(6)]
+    run(spark, "--format", "parquet", "clusters", shops, out("typed"), "--k", "2", "--seed", "1")
+    typed = results.read_table(spark, out("typed"), schemas.ASSIGNMENTS)
+    assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, saved.collect()))
     assert results.parse_elbow(X.read_lines(spark, out("elbow"))).count() == 2

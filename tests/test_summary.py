@@ -1,4 +1,4 @@
-from functools import partial
+import re
 
 import plain
 import pytest
@@ -88,9 +88,27 @@ def test_a_hot_key_is_really_spread(spark):
     assert max(r["count"] for r in salts) < 200
 
 
-def test_weights_with_cut_keys(articles, monkeypatch):
-    monkeypatch.setattr(T, "spread_join", partial(skew.spread_join, piece_rows=2))
-    found = {(r["doc_id"], r["word"]): r["tfidf"] for r in T.tf_idf(articles).collect()}
+def test_every_key_above_a_piece_is_cut(spark):
+    """More hot keys than any fixed list would hold."""
+    left = spark.range(20_000).select((F.col("id") % 5000).alias("k"), "id")
+    sizes = left.groupBy("k").agg(F.count("*").alias("rows"))
+    hot = skew.hot_keys(sizes, "k", "rows", piece_rows=2)
+    assert hot.count() == 5000
+    assert hot.agg(F.min("_pieces"), F.max("_pieces")).first() == (2, 2)
+
+
+def test_a_piece_grows_with_the_table(spark, monkeypatch):
+    """So the list of cut keys is bounded by arithmetic."""
+    monkeypatch.setattr(skew, "PIECES", 4)
+    left = spark.range(1000).select(F.when(F.col("id") < 500, 0).otherwise(F.col("id")).alias("k"))
+    sizes = left.groupBy("k").agg(F.count("*").alias("rows"))
+    assert [r["_pieces"] for r in skew.hot_keys(sizes, "k", "rows", piece_rows=1).collect()] == [2]
+
+
+def test_weights_with_cut_keys(articles):
+    found = {
+        (r["doc_id"], r["word"]): r["tfidf"] for r in T.tf_idf(articles, piece_rows=2).collect()
+    }
     assert found == pytest.approx(plain.tf_idf(ARTICLES), abs=1e-12)
 
 
@@ -107,7 +125,43 @@ def test_texts_are_read_once(articles, spark):
     assert reads.value == len(ARTICLES)
 
 
-def test_no_window_over_words_or_documents(articles):
+@pytest.mark.parametrize("partitions", [1, 2, 5])
+def test_of_repeated_ids_one_body_is_kept_everywhere(spark, partitions):
+    rows = [("1", f"Body {i} of one. Word{i} here", f"T{i}") for i in range(9)]
+    rows += [("2", "Only one. Here", "T")]
+    df = spark.createDataFrame(rows, "doc_id string, body string, title string")
+    first = first_per_id(df.repartition(partitions))
+    assert first.columns == df.columns
+    found = {r["doc_id"]: r["summary"] for r in S.summarize(first).collect()}
+    assert found == plain.summaries([("1", rows[0][1]), ("2", "Only one. Here")])
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange hashpartitioning\((.*?), [0-9]+\)", plan)
+
+
+def test_terms_cross_the_network_twice_after_counting(articles):
+    """To their word and back to their document; from there on nothing moves but the
+    pre-aggregated figures of words and documents."""
+    tf_idf = _shuffle_keys(T.tf_idf(articles))
+    cut = ("_groupingexpression",)
+    assert set(tf_idf) == {("doc_id", "word"), ("word",), ("word", "_salt"), ("doc_id",), cut}
+    summaries = _shuffle_keys(S.summarize(articles))
+    assert set(summaries) == set(tf_idf)
+    # the terms, the texts twice (one shuffle when it runs)
+    assert summaries.count(("doc_id",)) == tf_idf.count(("doc_id",)) + 2
+
+
+def _shuffle_keys(df):
+    return [
+        tuple(re.sub(r"#\d+L?", "", key).strip() for key in keys.split(","))
+        for keys in _exchanges(df)
+    ]
+
+
+def test_no_window_over_words(articles):
     plan = T.tf_idf(articles)._jdf.queryExecution().toString()
-    assert "Window" not in plan
+    assert "windowspecdefinition(doc_id" in plan
+    assert "windowspecdefinition(word" not in plan
     assert "Cartesian" not in plan
