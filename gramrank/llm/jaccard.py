@@ -184,8 +184,11 @@ def _apart(a: Column, b: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
 
 
-def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs ``a, b`` of set keys that link, compared shingle by shingle."""
+def verify(
+    pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule, grows: bool
+) -> DataFrame:
+    """The pairs ``a, b`` of set keys that link, compared shingle by shingle. ``grows``:
+    the pairs grow with the corpus, so their ids are not to be broadcast to the texts."""
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,10 +213,14 @@ def verify(pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule) -> Da
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     ends = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
-    needed = ends.join(sets.select("set", "rep"), "set").select("rep").distinct()
+    # written first, so that Spark knows its size when it plans the join with the texts
+    needed = _stored(
+        ends.join(sets.select("set", "rep"), "set").select("rep").distinct().sort("rep"),
+        "jaccard-needed",
+    )
     texts = docs.select(F.col("doc_id").alias("rep"), "text")
     body = _stored(
-        texts.join(needed, texts["rep"].eqNullSafe(needed["rep"]), "left_semi")
+        texts.join(needed.hint("merge") if grows else needed, texts["rep"].eqNullSafe(needed["rep"]), "left_semi")
         .select("text")
         .mapInArrow(bodies, "set long, body binary"),
         "jaccard-bodies",
@@ -245,57 +252,78 @@ def similar_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     )
     info = sets.select("set", "n", "bits")
 
-    # lists of two sets or more
-    entries = sets.select("set", F.posexplode("tokens").alias("pos", "token"))
+    # lists of two sets or more, and the size and position of each list's leader
+    entries = sets.select("set", "n", F.posexplode("tokens").alias("pos", "token"))
     shared = (
         entries.groupBy("token")
-        .agg(F.min("set").alias("leader"), F.max("set").alias("last"))
-        .where("leader <> last")
-        .select("token", "leader")
+        .agg(F.min("set").alias("leader"), F.count(F.lit(1)).alias("held_by"))
+        .where("held_by > 1")
     )
     lists = _stored(
         entries.join(_stored(shared, "jaccard-leaders"), "token").select(
-            "token", "set", "pos", "leader"
+            "token", "set", "n", "pos", "leader", "held_by"
         ),
         "jaccard-lists",
     )
+    leads = lists.where("set = leader").select(
+        "token", F.col("n").alias("n_a"), F.col("pos").alias("pos_a")
+    )
 
     # each set against the leaders of its lists
     end = lambda name: info.select(
-        F.col("set").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}")
+        F.col("set").alias(name), F.col("bits").alias(f"bits_{name}")
     )
-    near = rule.sizes(F.col("n_a"), F.col("n_b")) & (
-        _apart(F.col("bits_a"), F.col("bits_b"))
-        <= rule.difference(F.col("n_a"), F.col("n_b"))
+    allowed = rule.difference(F.col("n_a"), F.col("n_b"))
+    may_meet = rule.sizes(F.col("n_a"), F.col("n_b")) & (
+        F.col("pos_a") + F.col("pos_b") <= allowed
     )
+    near = _apart(F.col("bits_a"), F.col("bits_b")) <= allowed
     led = (
         lists.where("set <> leader")
-        .select(F.col("leader").alias("a"), F.col("set").alias("b"))
+        .select(
+            "token",
+            F.col("leader").alias("a"),
+            F.col("set").alias("b"),
+            F.col("n").alias("n_b"),
+            F.col("pos").alias("pos_b"),
+        )
+        .join(leads, "token")
+        .where(may_meet)
+        .select("a", "b", "n_a", "n_b")
         .distinct()
     )
     candidates = _stored(
         led.join(end("a"), "a").join(end("b"), "b").where(near).select("a", "b"),
         "jaccard-candidates",
     )
-    links = _stored(verify(candidates, sets, docs, rule), "jaccard-links")
+    links = _stored(verify(candidates, sets, docs, rule, grows=True), "jaccard-links")
     classes = _stored(components(links, "a", "b"), "jaccard-classes")
 
-    # pairs of sets that meet in a list and are in different classes
+    # pairs of sets that meet in a list and are in different classes; a list of two has
+    # only the pair that was compared
     known = info.join(classes.withColumnRenamed("node", "set"), "set", "left").withColumn(
         "component", F.coalesce("component", "set")
     )
-    placed = _stored(lists.join(known, "set"), "jaccard-placed")
+    class_of = known.select("set", "component")
+    placed = _stored(
+        lists.where("held_by > 2").drop("held_by").join(class_of, "set"), "jaccard-placed"
+    )
     mixed = (
         placed.groupBy("token")
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
-            F.min(F.struct("set", "component")).alias("first"),
+            F.max(F.when(F.col("set") == F.col("leader"), F.col("component"))).alias("home"),
         )
         .where("low <> high")
-        .select("token", F.col("first.component").alias("home"))
+        .select("token", "home")
+    )
+    open_lists = _stored(
+        placed.where("set <> leader")
+        .join(_stored(mixed, "jaccard-mixed"), "token")
+        .join(info.select("set", "bits"), "set"),
+        "jaccard-open",
     )
-    open_lists = _stored(placed.join(_stored(mixed, "jaccard-mixed"), "token"), "jaccard-open")
     side = lambda name: open_lists.select(
         "token",
         "home",
@@ -310,18 +338,14 @@ def similar_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     meets = outside.join(side("b"), "token").where(
         (F.col("class_a") != F.col("class_b"))
         & ((F.col("class_b") == F.col("home")) | (F.col("a") < F.col("b")))
-        & (
-            F.col("pos_a") + F.col("pos_b")
-            <= rule.difference(F.col("n_a"), F.col("n_b"))
-        )
+        & may_meet
         & near
     )
     across = _stored(
         meets.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "jaccard-across",
     )
-    more = _stored(verify(across, sets, docs, rule), "jaccard-more")
-    class_of = known.select("set", "component")
+    more = _stored(verify(across, sets, docs, rule, grows=False), "jaccard-more")
     bridges = more.join(
         class_of.select(F.col("set").alias("a"), F.col("component").alias("low")), "a"
     ).join(class_of.select(F.col("set").alias("b"), F.col("component").alias("high")), "b")

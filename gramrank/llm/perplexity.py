@@ -160,7 +160,10 @@ def fit(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
         p, rest = _smooth(counts, np.broadcast_to(p, counts.shape))
         probabilities.append(p)
         rests.append(rest)
-    keys, log_p, log_rest = [], [], []
+    # order 0 is the empty context, which leaves its weight to a uniform choice
+    keys = [key_of(0, np.zeros(1, dtype=np.int64))]
+    log_p = [np.array([-np.log(CLASSES)])]
+    log_rest = [np.log(np.maximum(rests[0].reshape(-1), 1e-30))]
     for order in range(1, ORDER + 1):
         seen = np.flatnonzero(by_order[order - 1].reshape(-1))
         keys.append(key_of(order, seen))
@@ -218,9 +221,8 @@ class Model:
         if len(lost):
             short = code[lost] & ((1 << (BITS * (order - 1))) - 1)
             out[lost] = self.look_up(short, order - 1)
-            if order > 1:
-                place, found = self._find(order - 1, code[lost] >> BITS)
-                out[lost] += np.where(found, self.log_rest[place], 0.0)
+            place, found = self._find(order - 1, code[lost] >> BITS)
+            out[lost] += np.where(found, self.log_rest[place], 0.0)
         return out
 
     def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
