@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding on tables.
 
-A text falls into units that no piece reaches across: a run of blanks with the word
-after it, a line break, a digit. Every different unit is encoded once. Its substrings of
+A text falls into units that no piece reaches across: a run of blanks with the letters or
+the marks after it, a line break, a digit. Every different unit is encoded once. Its substrings of
 at most the longest piece's length are exploded and equi-joined to the piece table; the
 edges found are grouped by unit, and a higher-order aggregate folds them.
 
@@ -14,6 +14,7 @@ whose two neighbours span the edge of the best score, the leftmost of equals.
 from __future__ import annotations
 
 import heapq
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,20 @@ class Model:
         return "".join(f"\\x{code:02x}" for code in range(128) if chr(code) not in joined)
 
 
+    def letters_apart(self) -> bool:
+        """Whether no piece has a letter (or a mark on one) next to anything else but
+        leading blanks, so that units may end between the two."""
+        return all(
+            _is_letter(a) == _is_letter(b)
+            for piece, _, _ in self.pieces
+            for a, b in zip(piece.lstrip(BLANK), piece.lstrip(BLANK)[1:], strict=False)
+        )
+
+
+def _is_letter(char: str) -> bool:
+    return unicodedata.category(char)[0] in "LM"
+
+
 def load_model(path: str) -> Model:
     import sentencepiece
 
@@ -84,7 +99,11 @@ def split_units(text: Column, model: Model) -> Column:
     """The units of a text in order; none for an empty or null text."""
     marked = F.concat(F.lit(BLANK), F.replace(text, F.lit(" "), F.lit(BLANK)))
     lone = model.lone()
-    pattern = f"{BLANK}*[^{BLANK}{lone}]+|{BLANK}+"
+    if model.letters_apart():
+        letters = r"\p{L}\p{M}"
+        pattern = f"{BLANK}*(?:[{letters}]+|[^{BLANK}{letters}{lone}]+)|{BLANK}+"
+    else:
+        pattern = f"{BLANK}*[^{BLANK}{lone}]+|{BLANK}+"
     if lone:
         pattern += f"|[{lone}]"
     units = F.regexp_extract_all(marked, F.lit(pattern), F.lit(0))
