@@ -17,6 +17,12 @@ from gramrank.plans.tfidf import tf_idf
 from gramrank.sources.text import with_doc_id
 
 
+def placed_by_id(articles: DataFrame) -> DataFrame:
+    """``[doc_id, body]`` of articles with an id, shuffled by it; words counted, numbered
+    or joined per document from here on stay where they are."""
+    return with_doc_id(articles).select("doc_id", "body").repartition("doc_id")
+
+
 def sentences(articles: DataFrame) -> DataFrame:
     """``[doc_id, sid, sentence]``, numbered from 0 without gaps."""
     return with_doc_id(articles).select(
@@ -41,9 +47,8 @@ def sentence_weights(articles: DataFrame) -> DataFrame:
     is not to be judged by the size of the files: the merge hint rules out that
     either is broadcast.
     """
-    usable = with_doc_id(articles)
-    weights = tf_idf(usable).select("doc_id", "word", "tfidf")
-    placed = usable.select("doc_id", "body").repartition("doc_id")
+    placed = placed_by_id(articles)
+    weights = tf_idf(placed).select("doc_id", "word", "tfidf")
     return sentence_words(placed).hint("merge").join(weights, ["doc_id", "word"])
 
 
@@ -103,7 +108,7 @@ def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.collect_list("sid").alias("sids"))
     )
-    bodies = with_doc_id(articles).select("doc_id", "body").repartition("doc_id")
+    bodies = placed_by_id(articles)
     chosen = F.filter(
         sentence_array(F.col("body")), lambda _, sid: F.array_contains("sids", sid)
     )
