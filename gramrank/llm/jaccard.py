@@ -8,8 +8,9 @@ Lists of the sets that hold a shingle are never paired up whole:
   than the difference allowed are skipped;
 * a set is first compared only with the leader of its list. The sets similar to the
   same leader are in the same class, and pairs within a class are never looked at;
-* what is left are pairs of sets of different classes. A bitmap of each set bounds
-  their difference from below, and only pairs within the bound are compared in full.
+* what is left are pairs of sets of different classes. Bitmaps of the sets, a small one
+  in the lists and one that grows with the set for the pairs, bound their difference from
+  below, and only pairs within the bounds are compared in full.
 
 Equal sets are one set. Links come out as classes, so a group of near copies costs a
 comparison or a few for each member, and no link between different classes is lost.
@@ -32,10 +33,13 @@ from gramrank.session import new_shared_path
 
 #: Counters of the shingle frequencies, whatever the size of the corpus.
 COUNTER_BITS = 20
-#: Words of a set's bitmap.
+#: 64-bit words of the bitmaps that lists are filtered by.
 BITMAP_WORDS = 8
 
-INDEX = "doc_id {id}, text_key long, set long, n int, bits array<long>, tokens array<long>"
+INDEX = (
+    "doc_id {id}, text_key long, set long, n int, bits array<long>, wide array<long>,"
+    " tokens array<long>"
+)
 
 
 @dataclass(frozen=True)
@@ -84,14 +88,19 @@ def set_key(tokens: np.ndarray) -> int:
     return int(T.mix(both).view(np.int64)[0])
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
+def bitmap(tokens: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
     """Bits that an odd number of the set's shingles fall on: two sets differ in at least
-    as many shingles as their bitmaps in bits."""
-    place = (tokens & np.uint64(BITMAP_WORDS * 64 - 1)).astype(np.int64)
-    odd = (np.bincount(place, minlength=BITMAP_WORDS * 64) & 1).astype(np.uint8)
+    as many shingles as their bitmaps in bits. ``words`` is a power of two."""
+    place = (tokens & np.uint64(words * 64 - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=words * 64) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
+def wide_bitmap(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap with a bit or more to a shingle, so that it tells large sets apart too."""
+    return bitmap(tokens, max(BITMAP_WORDS, 1 << (-(-len(tokens) // 64)).bit_length()))
+
+
 def counter(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
@@ -136,9 +145,9 @@ def text_key() -> Column:
 
 
 def index_sets(docs: DataFrame, rule: Rule, counts: np.ndarray) -> DataFrame:
-    """``[doc_id, text_key, set, n, bits, tokens]``: each text's set, its size, bitmap and prefix,
-    rarest shingle first. A text without words has no set and size 0; a set too small
-    to link with another has no prefix."""
+    """``[doc_id, text_key, set, n, bits, wide, tokens]``: each text's set, its size,
+    bitmaps and prefix, rarest shingle first. A text without words has no set and size
+    0; a set too small to link with another has no prefix."""
     ranks = np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -146,11 +155,12 @@ def index_sets(docs: DataFrame, rule: Rule, counts: np.ndarray) -> DataFrame:
         ranks = sent.value
         for batch in batches:
             for texts in T.chunks(batch.column(2)):
-                key, n, bits, prefix = [], [], [], []
+                key, n, bits, wide, prefix = [], [], [], [], []
                 for tokens in shingle_sets(texts, rule.words):
                     n.append(len(tokens))
                     key.append(set_key(tokens) if len(tokens) else None)
                     bits.append(bitmap(tokens))
+                    wide.append(wide_bitmap(tokens))
                     if len(tokens) >= rule.smallest:
                         order = np.lexsort((tokens, ranks[counter(tokens)]))
                         prefix.append(tokens[order[: rule.prefix(len(tokens))]].view(np.int64))
@@ -163,9 +173,10 @@ def index_sets(docs: DataFrame, rule: Rule, counts: np.ndarray) -> DataFrame:
                         pa.array(key, pa.int64()),
                         pa.array(n, pa.int32()),
                         _lists(bits),
+                        _lists(wide),
                         _lists(prefix),
                     ],
-                    names=["doc_id", "text_key", "set", "n", "bits", "tokens"],
+                    names=["doc_id", "text_key", "set", "n", "bits", "wide", "tokens"],
                 )
 
     plain = docs.select("doc_id", text_key().alias("text_key"), "text")
@@ -184,6 +195,33 @@ def _apart(a: Column, b: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
 
 
+def _folded(wide: Column, words: Column) -> Column:
+    """A bitmap as one of ``words`` words, a power of two not above its own number."""
+    return F.transform(
+        F.sequence(F.lit(1), words),
+        lambda i: F.aggregate(
+            F.sequence(i, F.size(wide), words),
+            F.lit(0).cast("long"),
+            lambda total, k: total.bitwiseXOR(F.element_at(wide, k)),
+        ),
+    )
+
+
+def within_wide_bitmaps(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``a, b`` whose wide bitmaps do not rule out a link."""
+    side = lambda name: sets.select(
+        F.col("set").alias(name), F.col("n").alias(f"n_{name}"), F.col("wide").alias(f"wide_{name}")
+    )
+    words = F.least(F.size("wide_a"), F.size("wide_b"))
+    apart = _apart(_folded(F.col("wide_a"), words), _folded(F.col("wide_b"), words))
+    return (
+        pairs.join(side("a"), "a")
+        .join(side("b"), "b")
+        .where(apart <= rule.difference(F.col("n_a"), F.col("n_b")))
+        .select("a", "b")
+    )
+
+
 def verify(
     pairs: DataFrame, sets: DataFrame, docs: DataFrame, rule: Rule, grows: bool
 ) -> DataFrame:
@@ -218,12 +256,12 @@ def verify(
         ends.join(sets.select("set", "rep"), "set").select("rep").distinct().sort("rep"),
         "jaccard-needed",
     )
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
+    if grows:
+        needed = needed.hint("merge")
+    texts = docs.select(F.col("doc_id").alias("id"), "text")
+    found = texts.join(needed, texts["id"].eqNullSafe(needed["rep"]), "left_semi")
     body = _stored(
-        texts.join(needed.hint("merge") if grows else needed, texts["rep"].eqNullSafe(needed["rep"]), "left_semi")
-        .select("text")
-        .mapInArrow(bodies, "set long, body binary"),
-        "jaccard-bodies",
+        found.select("text").mapInArrow(bodies, "set long, body binary"), "jaccard-bodies"
     )
     left = body.select(F.col("set").alias("a"), F.col("body").alias("left"))
     right = body.select(F.col("set").alias("b"), F.col("body").alias("right"))
@@ -248,7 +286,7 @@ def similar_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     chosen = chosen.withColumnRenamed("set", "chosen")
     same = (F.col("set") == F.col("chosen")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     sets = _stored(
-        index.join(chosen, same).select("set", "rep", "n", "bits", "tokens"), "jaccard-sets"
+        index.join(chosen, same).select("set", "rep", "n", "bits", "wide", "tokens"), "jaccard-sets"
     )
     info = sets.select("set", "n", "bits")
 
@@ -292,12 +330,9 @@ def similar_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select("a", "b", "n_a", "n_b")
         .distinct()
     )
-    candidates = _stored(
-        led.join(end("a"), "a").join(end("b"), "b").where(near).select("a", "b"),
-        "jaccard-candidates",
-    )
-    links = _stored(verify(candidates, sets, docs, rule, grows=True), "jaccard-links")
-    classes = _stored(components(links, "a", "b"), "jaccard-classes")
+    led = led.join(end("a"), "a").join(end("b"), "b").where(near).select("a", "b")
+    candidates = _stored(within_wide_bitmaps(led, sets, rule), "jaccard-candidates")
+    classes = components(verify(candidates, sets, docs, rule, grows=True), "a", "b")
 
     # pairs of sets that meet in a list and are in different classes; a list of two has
     # only the pair that was compared
@@ -341,15 +376,13 @@ def similar_classes(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         & may_meet
         & near
     )
-    across = _stored(
-        meets.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-        "jaccard-across",
-    )
-    more = _stored(verify(across, sets, docs, rule, grows=False), "jaccard-more")
+    met = meets.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    across = _stored(within_wide_bitmaps(met, sets, rule), "jaccard-across")
+    more = verify(across, sets, docs, rule, grows=False)
     bridges = more.join(
         class_of.select(F.col("set").alias("a"), F.col("component").alias("low")), "a"
     ).join(class_of.select(F.col("set").alias("b"), F.col("component").alias("high")), "b")
-    merged = _stored(components(bridges, "low", "high"), "jaccard-merged")
+    merged = components(bridges, "low", "high")
 
     final = class_of.join(
         merged.select(F.col("node").alias("component"), F.col("component").alias("merged")),
