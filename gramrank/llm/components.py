@@ -14,18 +14,22 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _print(edges: DataFrame) -> tuple:
-    """Tells two sets of edges apart."""
-    row = F.xxhash64("child", "parent")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(row), F.sum(row % 1_000_003)).first())
+def _is_done(forest: DataFrame) -> bool:
+    """Whether every child has one parent and no parent is a child."""
+    roles = forest.select(F.col("child").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    roles = roles.unionByName(
+        forest.select(F.col("parent").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
 def components(edges: DataFrame, low: str, high: str) -> DataFrame:
-    """``[node, component]`` of all nodes that edges ``low``, ``high`` touch; the
-    component is its smallest node.
+    """``[node, component]`` of the nodes that edges ``low``, ``high`` touch; the component
+    is its smallest node, which has no row of its own.
 
     Every round hangs the neighbours of each node on the smallest of them, first the
-    larger neighbours, then the smaller ones, and stops when nothing changes. Least
+    larger neighbours, then the smaller ones, until all hang on roots. Least
     neighbours are aggregated before any shuffle, so a node with very many edges is not
     gathered anywhere. Each round is written to the shared folder."""
     a, b = F.col(low), F.col(high)
@@ -35,27 +39,24 @@ def components(edges: DataFrame, low: str, high: str) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = _print(forest)
-    while True:
+    while not _is_done(forest):
         both = forest.unionByName(
             forest.select(F.col("parent").alias("child"), F.col("child").alias("parent"))
         ).toDF("node", "other")
+        # written, so that Spark can split the rows of a node with very many edges
         least = _stored(
             both.groupBy("node")
             .agg(F.min("other").alias("other"))
             .select("node", F.least("node", "other").alias("least")),
             "least",
         )
-        large = _stored(
+        large = (
             both.where("other > node")
             .join(least, "node")
             .select(F.col("other").alias("child"), F.col("least").alias("parent"))
-            .distinct(),
-            "large",
-        )
-        smallest = _stored(
-            large.groupBy("child").agg(F.min("parent").alias("least")), "smallest"
+            .distinct()
         )
+        smallest = large.groupBy("child").agg(F.min("parent").alias("least"))
         hung = (
             large.join(smallest, "child")
             .where("parent <> least")
@@ -64,11 +65,4 @@ def components(edges: DataFrame, low: str, high: str) -> DataFrame:
         forest = _stored(
             hung.unionByName(smallest.withColumnRenamed("least", "parent")).distinct(), "edges"
         )
-        after = _print(forest)
-        if after == before:
-            break
-        before = after
-    roots = forest.select(F.col("parent").alias("node"), F.col("parent").alias("component"))
-    return roots.distinct().unionByName(
-        forest.select(F.col("child").alias("node"), F.col("parent").alias("component"))
-    )
+    return forest.select(F.col("child").alias("node"), F.col("parent").alias("component"))
