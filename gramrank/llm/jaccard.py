@@ -33,8 +33,8 @@ from gramrank.session import new_shared_path
 
 #: Counters of the shingle frequencies, whatever the size of the corpus.
 COUNTER_BITS = 20
-#: 64-bit words of the bitmaps that lists are filtered by.
-BITMAP_WORDS = 8
+#: Sets of so many shingles are told apart by the bitmaps in the lists.
+LISTED_SHINGLES = 2300
 
 INDEX = (
     "doc_id {id}, text_key long, set long, n int, bits array<long>, wide array<long>,"
@@ -58,6 +58,13 @@ class Rule:
         """Sets below this size link with no other set."""
         return max(1, -(-self.least // max(self.per - self.least, 1)))
 
+    @property
+    def bitmap_words(self) -> int:
+        """64-bit words of the bitmaps in the lists. Unrelated sets differ in half the bits
+        or fewer, which must be more than linked sets may differ in."""
+        bits = 4 * LISTED_SHINGLES * (self.per - self.least) // (self.per + self.least)
+        return 1 << max(0, (max(bits, 1) - 1) // 64).bit_length()
+
     def sizes(self, n: Column, m: Column) -> Column:
         return F.least(n, m) * self.per >= F.greatest(n, m) * self.least
 
@@ -88,7 +95,7 @@ def set_key(tokens: np.ndarray) -> int:
     return int(T.mix(both).view(np.int64)[0])
 
 
-def bitmap(tokens: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
+def bitmap(tokens: np.ndarray, words: int) -> np.ndarray:
     """Bits that an odd number of the set's shingles fall on: two sets differ in at least
     as many shingles as their bitmaps in bits. ``words`` is a power of two."""
     place = (tokens & np.uint64(words * 64 - 1)).astype(np.int64)
@@ -98,7 +105,7 @@ def bitmap(tokens: np.ndarray, words: int = BITMAP_WORDS) -> np.ndarray:
 
 def wide_bitmap(tokens: np.ndarray) -> np.ndarray:
     """A bitmap with a bit or more to a shingle, so that it tells large sets apart too."""
-    return bitmap(tokens, max(BITMAP_WORDS, 1 << (-(-len(tokens) // 64)).bit_length()))
+    return bitmap(tokens, max(8, 1 << (-(-len(tokens) // 64)).bit_length()))
 
 
 def counter(tokens: np.ndarray) -> np.ndarray:
@@ -159,7 +166,7 @@ def index_sets(docs: DataFrame, rule: Rule, counts: np.ndarray) -> DataFrame:
                 for tokens in shingle_sets(texts, rule.words):
                     n.append(len(tokens))
                     key.append(set_key(tokens) if len(tokens) else None)
-                    bits.append(bitmap(tokens))
+                    bits.append(bitmap(tokens, rule.bitmap_words))
                     wide.append(wide_bitmap(tokens))
                     if len(tokens) >= rule.smallest:
                         order = np.lexsort((tokens, ranks[counter(tokens)]))
