@@ -1,11 +1,11 @@
 """Quality rules: plain counts per text and the perplexity of an n-gram model.
 
-The model is over characters in 32 classes, one model per language slot, of order four
-with modified Kneser-Ney smoothing. Spark counts the n-grams of all documents, each
-task adding up its own before the shuffle; a slot has at most 32^4 different ones, so
-the fitted model, sorted arrays of n-gram hashes, is of bounded size whatever the
-corpus. Documents whose perplexity lies outside a band of their language are rejected;
-the bands come from the quartiles of all documents that pass the plain rules.
+The model is over code points, one a language, and grows with the corpus
+(``language_model.py``). Documents whose perplexity lies outside a band of their language
+are rejected; the bands come from the quartiles of all documents that pass the plain rules.
+
+The model of 32 character classes below (``count_grams`` to ``load_models``) is of fixed
+size. No query uses it.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gramrank.llm import language_model as L
 from gramrank.llm import textarrays as T
 from gramrank.session import new_shared_path
 
@@ -274,62 +275,60 @@ def dup_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def score_documents(docs: DataFrame, models: dict[int, Model]) -> DataFrame:
-    """Plain counts of each text and the sum of its log probabilities."""
-    arrays = {slot: (m.key, m.log_p, m.log_rest) for slot, m in models.items()}
-    sent = docs.sparkSession.sparkContext.broadcast(arrays)
+def score_documents(blocks: DataFrame, answers: DataFrame, id_type: str) -> DataFrame:
+    """Plain counts of each text and the sum of its log probabilities, block by block."""
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = {slot: Model(*parts) for slot, parts in sent.value.items()}
-        for batch in batches:
-            slots = batch.column(2).to_numpy(zero_copy_only=False)
-            for texts in T.chunks(batch.column(3)):
-                low, n = texts.first, len(texts)
-                words = texts.words()
-                hashes = words.hashes()
-                body = ~T.IS_SPACE[texts.data]
-                codes, bounds = gram_codes(texts)
-                of_text = slots[low : low + n]
-                log_p = np.zeros(len(codes), dtype=np.float64)
-                for slot in np.unique(of_text):
-                    mine = np.repeat(of_text == slot, np.diff(bounds))
-                    log_p[mine] = models[slot].log_probabilities(codes[mine])
-                total = np.concatenate(([0.0], np.cumsum(log_p)))
-                by_word = words.bounds
-                yield pa.record_batch(
-                    [
-                        batch.column(0).slice(low, n),
-                        batch.column(1).slice(low, n),
-                        pa.array(np.diff(by_word)),
-                        pa.array(texts.sums(body & IS_LEAD[texts.data])),
-                        pa.array(texts.sums(IS_SYMBOL[texts.data])),
-                        pa.array(
-                            [
-                                dup_lines(texts.data[a:b].tobytes())
-                                for a, b in zip(texts.bounds[:-1], texts.bounds[1:], strict=True)
-                            ],
-                            pa.int64(),
-                        ),
-                        pa.array(
-                            [
-                                repeat_words(hashes[a:b])
-                                for a, b in zip(by_word[:-1], by_word[1:], strict=True)
-                            ],
-                            pa.int64(),
-                        ),
-                        pa.array(np.diff(bounds)),
-                        pa.array(total[bounds[1:]] - total[bounds[:-1]]),
-                    ],
-                    names=[part.split()[0] for part in STATS.split(", ")],
-                )
+    def score(answered: pa.Table, docs: pa.Table) -> pa.Table:
+        known = L.Answered(answered)
+        found = [score_part(part, known) for part in L.documents_of(docs)]
+        return pa.Table.from_batches([batch for part in found for batch in part])
 
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
-    plain = docs.select("doc_id", lang.alias("lang"), slot_of(lang).alias("slot"), "text")
-    return plain.mapInArrow(
-        score, STATS.format(id=plain.schema["doc_id"].dataType.simpleString())
+    texts = blocks.where("docs is not null").select(F.col("block").alias("of_block"), "docs")
+    return (
+        answers.groupBy("block")
+        .cogroup(texts.groupBy("of_block"))
+        .applyInArrow(score, STATS.format(id=id_type))
     )
 
 
+def score_part(batch: pa.RecordBatch, known: L.Answered) -> Iterator[pa.RecordBatch]:
+    langs = batch["lang_key"].to_numpy(zero_copy_only=False)
+    for texts in T.chunks(batch["text"]):
+        low, n = texts.first, len(texts)
+        words = texts.words()
+        hashes = words.hashes()
+        body = ~T.IS_SPACE[texts.data]
+        keys, bounds, _, _ = L.gram_keys(texts, langs[low : low + n])
+        total = np.concatenate(([0.0], np.cumsum(known.look_up(keys))))
+        by_word = words.bounds
+        yield pa.record_batch(
+            [
+                batch["doc_id"].slice(low, n),
+                batch["lang"].slice(low, n),
+                pa.array(np.diff(by_word)),
+                pa.array(texts.sums(body & IS_LEAD[texts.data])),
+                pa.array(texts.sums(IS_SYMBOL[texts.data])),
+                pa.array(
+                    [
+                        dup_lines(texts.data[a:b].tobytes())
+                        for a, b in zip(texts.bounds[:-1], texts.bounds[1:], strict=True)
+                    ],
+                    pa.int64(),
+                ),
+                pa.array(
+                    [
+                        repeat_words(hashes[a:b])
+                        for a, b in zip(by_word[:-1], by_word[1:], strict=True)
+                    ],
+                    pa.int64(),
+                ),
+                pa.array(np.diff(bounds)),
+                pa.array(total[bounds[1:]] - total[bounds[:-1]]),
+            ],
+            names=[part.split()[0] for part in STATS.split(", ")],
+        )
+
+
 def with_bands(scored: DataFrame, width: float) -> DataFrame:
     """Verdicts: the band of a language is ``width`` quartile ranges beyond the quartiles
     of log perplexity, taken over its documents that pass the plain rules."""
@@ -375,9 +374,26 @@ def judge_quality(docs: DataFrame, width: float = 3.0) -> DataFrame:
     is the language ''. Repeated rows are judged each for itself and counted each in the
     model; an empty table gives no rows. Word windows are compared by 64-bit hashes."""
     spark = docs.sparkSession
-    model_path = new_shared_path(spark, "ngram-model")
-    fit_models(count_grams(docs)).write.parquet(model_path)
-    models = load_models(spark.read.parquet(model_path))
-    scored_path = new_shared_path(spark, "ngram-scores")
-    score_documents(docs, models).write.parquet(scored_path)
-    return with_bands(spark.read.parquet(scored_path), width)
+
+    def kept(frame: DataFrame, label: str) -> DataFrame:
+        path = new_shared_path(spark, label)
+        frame.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+    plain = docs.select("doc_id", lang.alias("lang"), L.lang_key(lang).alias("lang_key"), "text")
+    # in buckets by block, so that the texts, written once, are not shuffled as well
+    blocks_path = new_shared_path(spark, "ngram-blocks")
+    name = blocks_path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = L.read_blocks(plain).write.bucketBy(buckets, "block").format("parquet")
+    writer.option("compression", "zstd").option("path", blocks_path).saveAsTable(name)
+    blocks = spark.table(name)
+    counts = kept(L.count_grams(blocks), "ngram-counts")
+    model = L.fit(counts)
+    model = kept(model.repartition("key").sortWithinPartitions("key"), "ngram-model")
+    id_type = plain.schema["doc_id"].dataType.simpleString()
+    scored = score_documents(blocks, L.answers(blocks, model), id_type)
+    scored = kept(scored, "ngram-scores")
+    spark.sql(f"drop table {name}")  # its files stay
+    return with_bands(scored, width)
