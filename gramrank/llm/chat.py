@@ -99,16 +99,32 @@ def fingerprint(record: Column) -> Column:
     return F.xxhash64(F.schema_of_variant(record))
 
 
+#: A longer record is never taken for a broken one: the JSON reader ends at strings of
+#: this many characters.
+LONGEST_STRING = 20_000_000
+
+
 def canonical_turns(
-    records: DataFrame, key: str, json: str, mappings: tuple[Mapping, ...] = MAPPINGS
+    records: DataFrame,
+    key: str,
+    json: str,
+    mappings: tuple[Mapping, ...] = MAPPINGS,
+    texts: str | None = None,
 ) -> DataFrame:
     """``[key, layout, turns]`` of JSON records in any of the layouts of ``mappings``.
 
     ``layout`` is the mapping's name, and null, with null ``turns``, for a record of
-    another layout or none."""
-    known = records.select(key, F.try_parse_json(F.col(json)).alias("record")).withColumn(
-        "layout_hash", fingerprint(F.col("record"))
-    )
+    another layout or none. With ``texts``, an array column, the records hold positions in
+    it instead of texts, and one that cannot be read is an error; so is one of more than
+    20 million characters that the JSON reader refuses."""
+    whole = F.col(json)
+    record = F.parse_json(whole)
+    if texts is None:
+        long = F.length(whole) > LONGEST_STRING
+        record = F.when(long, record).otherwise(F.try_parse_json(whole))
+    known = records.select(
+        key, record.alias("record"), *([F.col(texts).alias("texts")] if texts else [])
+    ).withColumn("layout_hash", fingerprint(F.col("record")))
     chosen = [
         (F.col("layout_hash") == F.xxhash64(F.lit(m.paths)), m.name, F.expr(m.turns))
         for m in mappings
@@ -117,6 +133,14 @@ def canonical_turns(
     for matches, name, expression in reversed(chosen):
         layout = F.when(matches, name).otherwise(layout)
         turns = F.when(matches, expression).otherwise(turns)
+    if texts is not None:
+        turns = F.transform(
+            turns,
+            lambda t: F.struct(
+                t["role"].alias("role"),
+                F.element_at("texts", t["text"].cast("int") + 1).alias("text"),
+            ),
+        )
     return known.select(key, layout.alias("layout"), turns.alias("turns"))
 
 
@@ -243,10 +267,13 @@ def gather_turns(rows: DataFrame) -> DataFrame:
 
 
 def as_records(conversations: DataFrame) -> DataFrame:
-    """``[conv_id, record]``: conversations as JSON in the layouts they come in: a pair
-    of user and assistant as prompt or instruction, anything else as a message list,
-    the choice made by a hash of the id."""
-    turns = F.col("turns")
+    """``[conv_id, record, texts]``: conversations as JSON in the layouts they come in: a
+    pair of user and assistant as prompt or instruction, anything else as a message list,
+    the choice made by a hash of the id. The JSON holds the positions of the texts in
+    ``texts``, which may be of any length."""
+    turns = F.transform(
+        "turns", lambda t, i: F.struct(t["role"].alias("role"), i.cast("string").alias("text"))
+    )
     draw = F.pmod(F.xxhash64("conv_id"), F.lit(2))
     role = lambda i: F.try_element_at(turns["role"], F.lit(i))
     text = lambda i: F.try_element_at(turns["text"], F.lit(i))
@@ -287,7 +314,9 @@ def as_records(conversations: DataFrame) -> DataFrame:
         .when(plain & (draw == 1), F.to_json(F.struct(renamed.alias("conversations"))))
         .otherwise(F.to_json(F.struct(messages.alias("messages"))))
     )
-    return conversations.select("conv_id", record.alias("record"))
+    return conversations.select(
+        "conv_id", record.alias("record"), F.col("turns")["text"].alias("texts")
+    )
 
 
 def format_conversations(rows: DataFrame) -> DataFrame:
@@ -295,4 +324,5 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     of their records. Other columns are ignored; an empty table gives no rows; repeated
     rows are repeated turns."""
     records = as_records(gather_turns(rows.select("conv_id", "turn", "role", "text")))
-    return format_turns(canonical_turns(records, "conv_id", "record"), "conv_id", "turns")
+    turns = canonical_turns(records, "conv_id", "record", texts="texts")
+    return format_turns(turns, "conv_id", "turns")

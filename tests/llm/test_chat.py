@@ -103,3 +103,20 @@ def test_nothing_runs_python(spark):
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
 
 
+
+
+@pytest.mark.parametrize("roles", [("user", "assistant"), ("user", "user")])
+def test_very_long_texts_come_back(spark, roles):
+    rows = [(1, 0, roles[0], "x"), (1, 1, roles[1], "ok")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    long = df.withColumn("text", F.when(F.col("turn") == 0, F.repeat("text", F.lit(21_000_000))).otherwise(F.col("text")))
+    formatted = C.format_conversations(long)
+    row = formatted.select(F.transform(C.read_turns(F.col("formatted")), lambda t: F.struct(t["role"], F.length(t["text"])))).first()
+    assert [tuple(t) for t in row[0]] == [(roles[0], 21_000_000), (roles[1], 2)]
+
+
+def test_a_record_too_long_for_the_reader_is_an_error(spark):
+    record = F.to_json(F.struct(F.lit("q").alias("prompt"), F.repeat(F.lit("x"), F.lit(21_000_000)).alias("completion")))
+    df = spark.range(1).select("id", record.alias("record"))
+    with pytest.raises(Exception, match="MALFORMED_RECORD|JSON|VARIANT"):
+        C.canonical_turns(df, "id", "record").select(F.size("turns")).collect()
