@@ -18,6 +18,7 @@ from gramrank.llm import (
     perplexity,
     pii,
     pu_quality,
+    tight_packing,
     warc,
 )
 
@@ -137,6 +138,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each piece of a document and its place in one of few sequences of 2048 ids."""
+    packed = tight_packing.pack_tightly(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    return packed.select(
+        "doc_id",
+        "piece",
+        "start",
+        "length",
+        F.crc32("token_ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -150,5 +165,6 @@ QUERIES: dict[str, Query] = {
         op8_lattice,
         op9_chat,
         op10_pii,
+        op11_best_two_fit,
     )
 }
