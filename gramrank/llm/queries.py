@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from gramrank.llm import (
     chat,
     exact_dedup,
+    hard_negatives,
     jaccard,
     lattice,
     licenses,
@@ -18,6 +20,7 @@ from gramrank.llm import (
     perplexity,
     pii,
     pu_quality,
+    spelling,
     tight_packing,
     warc,
 )
@@ -152,6 +155,43 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def slipped(doc_id: int | None, run: str) -> str:
+    """A run of letters as it stands in a document of the spelling query: one of 31 has
+    lost a letter, by a hash of document and run."""
+    drawn = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+    if drawn % 31:
+        return run
+    at = drawn % len(run)
+    return run[:at] + run[at + 1 :]
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the more frequent spelling they may stand for."""
+    counted = spelling.count_words(table(spark, sf_dir, "documents"), 7, slipped)
+    words = counted.where((F.char_length("word") >= 7) & (F.col("n") >= 2))
+    return spelling.group_variants(words)
+
+
+def whole_vectors(embeddings: DataFrame) -> DataFrame:
+    """``[id, label, vector]`` of embeddings with a label and finite components: those in
+    steps of 1/256, some labels moved on. Components beyond 2 ** 31 steps are an error."""
+    finite = lambda x: x.isNotNull() & (F.abs(x) < float("inf"))
+    usable = embeddings.where(F.col("label").isNotNull() & F.forall("embedding", finite))
+    step = lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("int")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    return usable.select(
+        F.col("vec_id").alias("id"),
+        F.coalesce(moved, F.col("label")).alias("label"),
+        F.transform("embedding", step).alias("vector"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of other labels that are nearly as near as an anchor's positives."""
+    vectors = whole_vectors(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine_hard_negatives(vectors, F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -166,5 +206,7 @@ QUERIES: dict[str, Query] = {
         op9_chat,
         op10_pii,
         op11_best_two_fit,
+        op12_spelling,
+        op13_hard_negatives,
     )
 }
