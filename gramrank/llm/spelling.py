@@ -35,6 +35,9 @@ HELD_WORDS = 100_000
 CHUNK_PAIRS = 10_000
 REST_PIECES = 4
 
+#: Code points of a word up to which Spark's edit distance is fast.
+SHORT_WORD = 256
+
 #: What becomes of a lower-cased run in a document; None for the run itself.
 Alter = Callable[[object, str], str]
 
@@ -128,6 +131,18 @@ def _sides(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     return side([0]), side([0, 1])
 
 
+def _one_edit(word: Column, near: Column, shift: Column) -> Column:
+    """Whether ``near``, longer by ``shift`` (0 or 1), is one edit away. Spark's distance
+    takes time quadratic in the length, so of long words what stands behind the first
+    difference is compared."""
+    letters = lambda text: F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    differ = F.zip_with(letters(word), letters(near), lambda a, b: ~a.eqNullSafe(b))
+    first = F.array_position(differ, True).cast("int")
+    behind = F.substr(word, first + 1 - shift) == F.substr(near, first + 1)
+    short = F.levenshtein(word, near, 1) == 1
+    return F.when(F.char_length(word) <= SHORT_WORD, short).otherwise((first > 0) & behind)
+
+
 def near_pairs(words: DataFrame, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
     """``[word, n, near, near_n]``: all pairs of ``words`` (``[word, n]``, each word once)
     that differ by one inserted, deleted or replaced code point, in both directions, a pair
@@ -156,7 +171,8 @@ def near_pairs(words: DataFrame, chunk_pairs: int = CHUNK_PAIRS) -> DataFrame:
         "key", F.col("word").alias("near"), F.col("n").alias("near_n"), "shift"
     )
     once = (F.col("shift") == 1) | (F.col("word") < F.col("near"))
-    pairs = left.join(right, "key").where(once & (F.levenshtein("word", "near", 1) == 1))
+    edit = _one_edit(F.col("word"), F.col("near"), F.col("shift"))
+    pairs = left.join(right, "key").where(once & edit)
     both = F.array(
         F.struct("word", "n", "near", "near_n"),
         F.struct(

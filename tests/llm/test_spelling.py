@@ -104,9 +104,15 @@ def test_of_equal_forms_the_smallest_in_code_points(spark):
 
 
 def test_long_words_and_empty_tables(spark):
-    words = ["x" * 100_000, "x" * 99_999, "x" * 50_000 + "y" + "x" * 49_999]
-    df = spark.createDataFrame([(w, 2) for w in words], "word string, n long")
-    assert {r["n_near"] for r in spelling.group_variants(df, chunk_pairs=1).collect()} == {2, 1}
+    long = 20_000
+    words = ["x" * long, "x" * (long - 1), "x" * (long // 2) + "y" + "x" * (long // 2 - 1)]
+    words += ["xy" * 200, "xy" * 199 + "yx", "xy" * 199 + "x", "y" + "xy" * 199, "é" + "xy" * 199 + "x"]
+    groups = spelling.group_variants(
+        spark.createDataFrame([(w, 2) for w in words], "word string, n long"), chunk_pairs=1
+    )
+    want = {w: sum(one_edit(w, v) for v in words) for w in words}
+    assert {r["word"]: r["n_near"] for r in groups.collect()} == want
+    df = groups
     assert spelling.group_variants(df.where("n = 0")).count() == 0
 
 
