@@ -6,7 +6,15 @@ result is derived from the tables alone.
 
 from __future__ import annotations
 
-from gramrank.queries import ELBOW_MAX_K, HUB, KMEANS_K, KMEANS_ROUNDS, PATTERN
+from gramrank.queries import (
+    DRAW_SEED,
+    ELBOW_MAX_K,
+    HUB,
+    KMEANS_K,
+    KMEANS_ROUNDS,
+    PATTERN,
+    RANDOM_STARTS,
+)
 from gramrank.tables import LISTING_SQL
 
 ONE_LINE = "replace(replace(text, chr(10), ' '), chr(13), ' ')"
@@ -204,13 +212,44 @@ points as materialized (
 )"""
 
 
-def lloyd(k: int, rounds: int, tag: str, order: str = "name") -> str:
+def random_draws(wanted: int) -> str:
+    """``with`` clauses for ``wanted`` centroids drawn one after the other; ``starts`` holds
+    them by number. A draw repeats a row seen before or takes the next fresh one; the x and
+    the y of a centroid are drawn separately."""
+    chance = f"cast('0x' || left(md5('{DRAW_SEED}|draw|' || (i + 1)), 15) as bigint)"
+    return f"""
+fresh as materialized (
+    select x, y, row_number() over (order by md5('{DRAW_SEED}|' || name), name) - 1 as place
+    from points
+),
+draws as (
+    select 0 as i, cast(0 as bigint) as place, cast(1 as bigint) as seen
+    union all
+    select i + 1, least(p, seen), case when p < seen then seen else seen + 1 end
+    from (select *, {chance} % (select count(*) from points) as p from draws)
+    where i + 1 < {2 * wanted}
+),
+drawn as materialized (select i, x, y from draws join fresh using (place)),
+starts as materialized (
+    select a.i as number, a.x, b.y from drawn a join drawn b on b.i = a.i + {wanted}
+)"""
+
+
+def lloyd(k: int, rounds: int, tag: str, order: str = "name", start: int | None = None) -> str:
     """``with`` clauses for the rounds of one run; ``near_<tag>_<round>`` holds the
-    assignments and ``cent_<tag>_<round>`` the centroids used in them."""
-    parts = [
-        f"cent_{tag}_1 as materialized (select row_number() over (order by {order}) - 1 as cid, "
-        f"x as cx, y as cy from points order by {order} limit {k})"
-    ]
+    assignments and ``cent_<tag>_<round>`` the centroids used in them. The first ones are
+    points in ``order``, or those of ``starts`` from number ``start`` on."""
+    if start is None:
+        first = (
+            f"select row_number() over (order by {order}) - 1 as cid, "
+            f"x as cx, y as cy from points order by {order} limit {k}"
+        )
+    else:
+        first = (
+            f"select number - {start} as cid, x as cx, y as cy from starts "
+            f"where number between {start} and {start + k - 1}"
+        )
+    parts = [f"cent_{tag}_1 as materialized ({first})"]
     for done in range(1, rounds + 1):
         parts.append(
             f"near_{tag}_{done} as materialized (select name, x, y, cid, cx, cy, d from ("
@@ -253,6 +292,21 @@ def build() -> dict[str, str]:
         f"from near_r{k}_{KMEANS_ROUNDS})) / {k}, 6) as sse"
         for k in range(1, ELBOW_MAX_K + 1)
     )
+    ks = [k for k in range(1, ELBOW_MAX_K + 1) for _ in range(RANDOM_STARTS)]
+    single = sum(range(1, ELBOW_MAX_K + 1))
+    drawn_runs = ",\n".join(
+        lloyd(k, KMEANS_ROUNDS, f"d{run}", start=sum(ks[:run])) for run, k in enumerate(ks)
+    )
+    drawn_rows = " union all ".join(
+        f"select cast({k} as integer) as k, round(("
+        + " + ".join(
+            f"(select sum(pow(d, 2)) from near_d{run}_{KMEANS_ROUNDS})"
+            for run, size in enumerate(ks)
+            if size == k
+        )
+        + f") / {k}, 6) as sse"
+        for k in range(1, ELBOW_MAX_K + 1)
+    )
     selected_pages = SELECTED.format(links="links")
     selected_parsed = SELECTED.format(links="parsed_links")
     return {
@@ -372,10 +426,12 @@ def build() -> dict[str, str]:
         f"round(sum(pow(d, 2)), 6) as sse from {last} group by cid",
         "elbow_curve": f"with {VALID},\n{elbow_runs}\n{elbow_rows}",
         "elbow_restarts": f"with {VALID},\n{elbow_runs},\n{last_runs}\n{restart_rows}",
-        "elbow_random": "select cast(k as integer) as k, true as bounded "
-        f"from range(1, {ELBOW_MAX_K + 1}) as t(k)",
-        "random_starts": "select cast(k as integer) as k, k as known_x, k as known_y "
-        f"from range(1, {ELBOW_MAX_K + 1}) as t(k)",
+        "elbow_random": f"with recursive {VALID}, {random_draws(sum(ks))},\n{drawn_runs}\n"
+        f"{drawn_rows}",
+        "random_starts": f"with recursive {VALID}, {random_draws(single)} "
+        "select cast(k as integer) as k, cast(number - k * (k - 1) // 2 as integer) as centroid_id, "
+        f"round(x, 9) as x, round(y, 9) as y from starts, range(1, {ELBOW_MAX_K + 1}) as t(k) "
+        "where number >= k * (k - 1) // 2 and number < k * (k + 1) // 2",
         "random_point": f"with {VALID} select name, round(x, 9) as x, round(y, 9) as y "
         "from points order by md5('5|' || name), name limit 1",
         "clusters_sink": clusters + "select cast(cid as integer) as centroid_id, "

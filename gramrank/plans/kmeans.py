@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from gramrank import schemas
 from gramrank.functions.geometry import with_nearest
+from gramrank.functions.nearest import CentreTree
 from gramrank.operators.sampling import draw_rows
 
 Centroids = list[tuple[int, float, float]]
 
-#: Distances a task holds at a time.
-HELD_DISTANCES = 1_000_000
+#: Points a task takes through a run's tree at a time.
+POINTS_AT_ONCE = 20_000
 
 
 def assign(points: DataFrame, centroids: Sequence[tuple[int, float, float]]) -> DataFrame:
@@ -45,12 +46,16 @@ def cluster_sse(assigned: DataFrame) -> DataFrame:
 
 
 def draw_centroids(
-    points: DataFrame, ks: Sequence[int], seed: int | None = None
+    points: DataFrame,
+    ks: Sequence[int],
+    seed: int | None = None,
+    key: list[str] | None = None,
 ) -> list[Centroids]:
     """Random starts, one list of k centroids for each k asked for. The x and the y
-    of a centroid are drawn separately."""
+    of a centroid are drawn separately. ``key`` tells points apart, all columns if not
+    given."""
     wanted = sum(ks)
-    drawn = draw_rows(points, 2 * wanted, seed)
+    drawn = draw_rows(points, 2 * wanted, seed, key)
     xs = iter([row["x"] for row in drawn[:wanted]])
     ys = iter([row["y"] for row in drawn[wanted:]])
     return [[(cid, next(xs), next(ys)) for cid in range(k)] for k in ks]
@@ -66,28 +71,23 @@ def _move_all(points: DataFrame, runs: list[Centroids]) -> tuple[list[Centroids]
     """One round for several runs in one pass over the points: the new centroids of
     each run, and the squared distances to the old ones summed up per run.
 
-    A task keeps three sums and a count per centroid and hands on one row for each.
-    Points are taken in slices, so that the distances held at a time are bounded
-    whatever the number of centroids.
+    A task keeps three sums and a count per centroid and hands on one row for each. The
+    centroids of a run are held in a tree, so a point meets few of them. Points are taken
+    in slices, so that what is held at a time is bounded whatever comes in a batch.
     """
-    xs = [np.array([cx for _, cx, _ in run]) for run in runs]
-    ys = [np.array([cy for _, _, cy in run]) for run in runs]
+    trees = [CentreTree([cx for _, cx, _ in run], [cy for _, _, cy in run]) for run in runs]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [np.zeros((4, len(cx))) for cx in xs]
-        rows_at_once = max(1, HELD_DISTANCES // max(len(cx) for cx in xs))
+        totals = [np.zeros((4, len(tree.x))) for tree in trees]
         for batch in batches:
-            for low in range(0, batch.num_rows, rows_at_once):
-                part = batch.slice(low, rows_at_once)
+            for low in range(0, batch.num_rows, POINTS_AT_ONCE):
+                part = batch.slice(low, POINTS_AT_ONCE)
                 x, y = part.column(0).to_numpy(), part.column(1).to_numpy()
-                for cx, cy, total in zip(xs, ys, totals):
-                    dx, dy = x[:, None] - cx, y[:, None] - cy
-                    d = np.sqrt(dx * dx + dy * dy)
-                    place = d.argmin(axis=1)
-                    near = d[np.arange(len(place)), place]
+                for tree, total in zip(trees, totals):
+                    place, near = tree.nearest(x, y)
                     for row, weights in zip(total, (None, x, y, near * near)):
-                        row += np.bincount(place, weights, len(cx))
-        sizes = [len(cx) for cx in xs]
+                        row += np.bincount(place, weights, len(tree.x))
+        sizes = [len(tree.x) for tree in trees]
         yield pa.RecordBatch.from_pydict(
             {
                 "run": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
@@ -168,13 +168,14 @@ def elbow(
     seed: int | None = None,
     init: Sequence[tuple[float, float]] | None = None,
     starts: Sequence[Sequence[tuple[float, float]]] | None = None,
+    key: list[str] | None = None,
 ) -> DataFrame:
     """``[k, sse]`` for k = 1..max_k: squared distances of the last round summed
     over clusters and restarts, divided by k.
 
     All runs of all k share each pass, so the points are read ``max_iter`` times in
     total. With ``init`` run k starts from its first k entries; ``starts`` gives such a
-    list for each restart.
+    list for each restart. Else centroids are drawn, from points told apart by ``key``.
     """
     if starts is None and init is not None:
         starts = [init] * restarts
@@ -189,7 +190,7 @@ def elbow(
                 for start in starts
             ]
         else:
-            current = draw_centroids(points.dropna(subset=["x", "y"]), ks, seed)
+            current = draw_centroids(points.dropna(subset=["x", "y"]), ks, seed, key)
         sse: list[float] = [0.0 for _ in ks]
         for _ in range(max_iter):
             current, sse = _move_all(kept, current)

@@ -10,10 +10,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gramrank import schemas
-from gramrank.operators.skew import PIECE_ROWS, add_salt, hot_keys, repeat_per_salt
+from gramrank.operators.skew import PIECE_ROWS, hot_keys
 from gramrank.session import cut_lineage, new_shared_path, sibling_session
 
 # Edges per task below which fewer tasks are used, and above which more are.
@@ -44,22 +45,28 @@ def pagerank(
     gives ``(1 - damping) * t + damping * sum``, where ``t`` is ``e`` for the
     teleport ``"share"`` and 1 for ``"unit"``.
 
-    Runs when called. One grouping by source gives the degrees, the totals and the form
-    of the ids. Edges are the only table kept, partitioned and sorted by source, with
-    the out-degree on each edge, so a round joins them in place and shuffles only the
-    sums per target, pre-aggregated. Edges of a source with a large share of all edges
-    are spread over several tasks. Every ``rounds_per_cut`` rounds the ranks are written
-    to the checkpoint folder, as is the result; a lost executor costs at most those
-    rounds. The number of partitions is set in a session of its own.
+    Runs when called. The distinct edges are written once to the shared folder; one
+    grouping by source gives the degrees, the totals and the form of the ids. Edges are
+    then placed and sorted by source, with the out-degree on each, and kept before the
+    first round is planned. A round joins them in place: the sums per target, the only
+    thing shuffled, come to lie where the next round looks for them as sources.
+
+    Sources with a large share of all edges would be a task of their own. Their edges are
+    written apart, spread evenly over files, and meet the ranks of the listed sources (fewer than
+    ``skew.PIECES``, however large the graph is) by a broadcast; ranks are then used twice a
+    round and are written after each, else after every ``rounds_per_cut``, as is the
+    result. The number of partitions is set in a session of its own.
     """
     if teleport not in ("share", "unit"):
         raise ValueError(f"unknown teleport {teleport!r}")
     spark = edges.sparkSession
-    named = edges.select("src", "dst").distinct()
+    path = new_shared_path(spark, "edges")
+    edges.select("src", "dst").to(schemas.EDGES).distinct().write.parquet(path)
     degrees = cut_lineage(
-        named.groupBy("src").agg(
-            F.count("*").alias("deg"), F.bool_and(_number_ids()).alias("numbers")
-        )
+        spark.read.schema(schemas.EDGES)
+        .parquet(path)
+        .groupBy("src")
+        .agg(F.count("*").alias("deg"), F.bool_and(_number_ids()).alias("numbers"))
     )
     sources, total, numbers = degrees.agg(
         F.count("*"), F.sum("deg"), F.bool_and("numbers")
@@ -68,17 +75,13 @@ def pagerank(
         return spark.createDataFrame([], schemas.RANKS)
 
     partitions = _partitions(total, spark.sparkContext.defaultParallelism)
-    session = sibling_session(spark, {"spark.sql.shuffle.partitions": str(partitions)})
+    session = sibling_session(spark, _round_settings(partitions))
     id_type = "bigint" if numbers else "string"
-    links = _in(session, named).select(
-        F.col("src").try_cast(id_type), F.col("dst").try_cast(id_type)
-    )
+    links = session.read.schema(schemas.EDGES).parquet(path)
+    links = links.select(F.col("src").try_cast(id_type), F.col("dst").try_cast(id_type))
     degrees = _in(session, degrees).select(F.col("src").try_cast(id_type), "deg")
-    keys = ["src", "_salt"]
     hot = cut_lineage(hot_keys(degrees, "src", "deg", piece_rows))
-
-    def spread(df: DataFrame) -> DataFrame:
-        return repeat_per_salt(df, hot, "src").repartition(partitions, *keys)
+    any_hot = not hot.isEmpty()
 
     start = 1.0 / sources
     target = start if teleport == "share" else 1.0
@@ -86,26 +89,75 @@ def pagerank(
     if taxation:
         received = F.lit((1.0 - damping) * target) + F.lit(damping) * received
 
-    out_edges = (
-        add_salt(links, hot, "src", ["dst"])
-        .repartition(partitions, *keys)
-        .join(spread(degrees), keys)
-        .sortWithinPartitions(*keys)
-        .persist()
-    )
+    cold = _by_source(_of_sources(links, hot, "left_anti") if any_hot else links, partitions)
+    kept, every = [cold], rounds_per_cut
+    if any_hot:
+        few = F.broadcast(_of_sources(degrees, hot, "left_semi"))
+        spread = _of_sources(links, hot, "left_semi").join(few, "src")
+        path = new_shared_path(spark, "hot-edges")
+        spread.repartition(partitions, "src", "dst").write.parquet(path)
+        kept.append(session.read.parquet(path))
+        every = 1
     try:
-        ranks = degrees.select("src", F.lit(start).alias("rank"))
+        cold.persist().count()
+        ranks = None
         for done in range(1, iterations + 1):
-            passed = out_edges.join(spread(ranks), keys).groupBy(F.col("dst").alias("src"))
-            ranks = passed.agg(received.alias("rank"))
-            if done % rounds_per_cut == 0 and done < iterations:
+            passed = _passed_on(kept, ranks, hot, start)
+            ranks = passed.groupBy("dst").agg(received.alias("rank"))
+            ranks = ranks.withColumnRenamed("dst", "src")
+            if done % every == 0 and done < iterations:
                 ranks = cut_lineage(ranks)
-        path = new_shared_path(spark, "ranks")
-        ranks.select(
-            F.coalesce(F.col("src").cast("string"), F.lit("")).alias("id"), "rank"
-        ).write.parquet(path)
+        if ranks is None:
+            ranks = degrees.select("src", F.lit(start).alias("rank"))
+        return _named(spark, ranks)
     finally:
-        out_edges.unpersist()
+        cold.unpersist()
+
+
+def _round_settings(partitions: int) -> dict[str, str]:
+    """Every shuffle of a round deals out alike, and no table changes its place: what is
+    joined in place has to stay there."""
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+
+
+def _of_sources(df: DataFrame, hot: DataFrame, how: str) -> DataFrame:
+    """Rows whose source is on the list of hot ones (``left_semi``) or not (``left_anti``)."""
+    hashed = df.withColumn("_hash", F.xxhash64("src"))
+    return hashed.join(F.broadcast(hot.select("_hash")), "_hash", how).drop("_hash")
+
+
+def _by_source(links: DataFrame, partitions: int) -> DataFrame:
+    """``[src, dst, deg]`` placed and sorted by source."""
+    same_source = F.count(F.lit(1)).over(W.partitionBy("src"))
+    placed = links.repartition(partitions, "src").withColumn("deg", same_source)
+    return placed.sortWithinPartitions("src")
+
+
+def _passed_on(
+    kept: list[DataFrame], ranks: DataFrame | None, hot: DataFrame, start: float
+) -> DataFrame:
+    """``[dst, rank, deg]``, a row for each edge. Before the first round all sources have
+    the rank ``start``."""
+    columns = ["dst", "rank", "deg"]
+    if ranks is None:
+        parts = [table.withColumn("rank", F.lit(start)).select(*columns) for table in kept]
+    else:
+        parts = [kept[0].join(ranks, "src").select(*columns)]
+        if len(kept) > 1:
+            few = F.broadcast(_of_sources(ranks, hot, "left_semi"))
+            parts.append(kept[1].join(few, "src").select(*columns))
+    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+
+
+def _named(spark: SparkSession, ranks: DataFrame) -> DataFrame:
+    """The result, written to the shared folder; the empty target is the empty text."""
+    path = new_shared_path(spark, "ranks")
+    name = F.coalesce(F.col("src").cast("string"), F.lit("")).alias("id")
+    ranks.select(name, "rank").write.parquet(path)
     return spark.read.schema(schemas.RANKS).parquet(path)
 
 

@@ -1,19 +1,22 @@
 """Extractive summaries: sentences scored by their best TF-IDF words.
 
 Ids must be unique here (``first_per_id`` makes them so): a sentence number means
-something within one body only. Texts are placed by id once; with terms placed alike, the
-join by document and word, both rankings and the join of the bodies need no further
-shuffle (``requireAllClusterKeysForCoPartition`` off, as ``build_session`` has it).
+something within one body only. Texts are placed by id once. A document's words and weights
+come to the same place as two arrays, one row a document, and sentence words are looked up
+there: sentences are split, weighed, scored and picked within the row, and neither sentence
+words nor sentences are ever shuffled, sorted or joined on their own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.functions.text import join_sentences, sentence_array, sentence_word_array
-from gramrank.plans.tfidf import tf_idf
+from gramrank.operators.topk import best_values
+from gramrank.plans.tfidf import document_weights
 from gramrank.sources.text import with_doc_id
 
 
@@ -40,78 +43,134 @@ def sentence_words(articles: DataFrame) -> DataFrame:
     )
 
 
-def sentence_weights(articles: DataFrame) -> DataFrame:
-    """``[doc_id, sid, word, tfidf]`` of sentence words that are document words.
+def _offsets(lists: pa.Array) -> np.ndarray:
+    sizes = lists.value_lengths().fill_null(0).to_numpy()
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+
+def look_up(sentences: pa.Array, words: pa.Array, weights: pa.Array) -> pa.Array:
+    """For rows of sentences (lists of words) the weights of their words in the row's own
+    ``words`` and ``weights``, null for a word that is not among them."""
+    by_row, by_sentence = _offsets(sentences), _offsets(lines := sentences.flatten())
+    rows = np.arange(len(sentences))
+    row_of_known = np.repeat(rows, np.diff(_offsets(words)))
+    row_of_word = np.repeat(np.repeat(rows, np.diff(by_row)), np.diff(by_sentence))
+    known, asked = words.flatten(), lines.flatten()
+    codes = pa.concat_arrays([known, asked]).dictionary_encode().indices.to_numpy()
+    # a row and a word in one whole number
+    span = int(codes.max(initial=0)) + 1
+    keys = row_of_known * span + codes[: len(known)]
+    wanted = row_of_word * span + codes[len(known) :]
+    order = np.argsort(keys, kind="stable")
+    at = np.minimum(np.searchsorted(keys[order], wanted), max(len(keys) - 1, 0))
+    if len(keys):
+        found = keys[order][at] == wanted
+        values = weights.flatten().to_numpy(zero_copy_only=False)[order][at]
+    else:
+        found, values = np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
+    flat = pa.array(values, pa.float64(), mask=~found)
+    return pa.ListArray.from_arrays(
+        pa.array(by_row), pa.ListArray.from_arrays(pa.array(by_sentence), flat)
+    )
 
-    Both sides are many times larger than the texts they come from, so their size
-    is not to be judged by the size of the files: the merge hint rules out that
-    either is broadcast.
-    """
+
+def weighed_documents(articles: DataFrame) -> DataFrame:
+    """``[doc_id, sentences, words, weights]``, a row a document: its sentences in order,
+    the distinct words of each and their TF-IDF values, null for what is no document word.
+
+    Texts and weights meet by id where they lie (in sessions of ``build_session``, which
+    allow it; else texts are shuffled once more). They are many times larger than the files
+    they come from, so their size is not to be judged by that: the merge hint rules out
+    that either is broadcast."""
     placed = placed_by_id(articles)
-    weights = tf_idf(placed).select("doc_id", "word", "tfidf")
-    return sentence_words(placed).hint("merge").join(weights, ["doc_id", "word"])
+    joined = placed.hint("merge").join(document_weights(placed), "doc_id", "left")
+    split = joined.withColumn("sentences", sentence_array(F.col("body"))).withColumn(
+        "lines", F.transform("sentences", sentence_word_array)
+    )
+    none = F.array().cast("array<string>"), F.array().cast("array<double>")
+    weigh = F.arrow_udf(look_up, "array<array<double>>")
+    return split.select(
+        "doc_id",
+        "sentences",
+        F.col("lines").alias("words"),
+        weigh("lines", F.coalesce("words", none[0]), F.coalesce("weights", none[1])).alias("weights"),
+    )
+
+
+def sentence_weights(articles: DataFrame) -> DataFrame:
+    """``[doc_id, sid, word, tfidf]`` of sentence words that are document words."""
+    pairs = F.transform(
+        F.arrays_zip("words", "weights"),
+        lambda line: F.arrays_zip(line["words"].alias("word"), line["weights"].alias("tfidf")),
+    )
+    lines = weighed_documents(articles).select("doc_id", F.posexplode(pairs).alias("sid", "pairs"))
+    return lines.select(
+        "doc_id", "sid", F.inline("pairs").alias("word", "tfidf")
+    ).where("tfidf is not null")
 
 
 def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
     """``[doc_id, sid, place, tfidf]``: the ``k`` best values of each sentence; equal
     values count separately."""
-    best = W.partitionBy("doc_id", "sid").orderBy(F.desc("tfidf"))
-    return (
-        weights.select("doc_id", "sid", F.row_number().over(best).alias("place"), "tfidf")
-        .where(F.col("place") <= k)
-    )
+    best = best_values(weights, ["doc_id", "sid"], "tfidf", k)
+    places = best.select("doc_id", "sid", F.posexplode("best").alias("place", "tfidf"))
+    return places.withColumn("place", F.col("place") + 1)
+
+
+def _total(best: Column) -> Column:
+    """Added up from the largest down, so sentences with the same values have the same
+    score to the last bit and the tie rule applies to them."""
+    return F.aggregate(best, F.lit(0.0), lambda total, value: total + value)
 
 
 def score_sentences(weights: DataFrame, k: int = 5) -> DataFrame:
-    """``[doc_id, sid, score]``: sum of the ``k`` best values of each sentence.
+    """``[doc_id, sid, score]``: sum of the ``k`` best values of each sentence."""
+    best = best_values(weights, ["doc_id", "sid"], "tfidf", k)
+    return best.select("doc_id", "sid", _total(F.col("best")).alias("score"))
 
-    Added up from the largest down, so sentences with the same values have the
-    same score to the last bit and the tie rule applies to them.
-    """
-    best = F.sort_array(F.collect_list("tfidf"), asc=False)
-    return (
-        top_weights(weights, k)
-        .groupBy("doc_id", "sid")
-        .agg(best.alias("best"))
-        .select(
-            "doc_id",
-            "sid",
-            F.aggregate("best", F.lit(0.0), lambda total, v: total + v).alias("score"),
+
+def _scores(weights: Column, k: int) -> Column:
+    """Array of ``(score, sid)`` of the sentences of a row that have a scored word."""
+
+    def score(line: Column, sid: Column) -> Column:
+        best = F.slice(F.sort_array(F.filter(line, lambda w: w.isNotNull()), asc=False), 1, k)
+        return F.struct(
+            F.when(F.size(best) > 0, _total(best)).alias("score"), sid.alias("sid")
         )
-    )
+
+    return F.filter(F.transform(weights, score), lambda s: s["score"].isNotNull())
 
 
 def sentence_scores(articles: DataFrame, k: int = 5) -> DataFrame:
-    return score_sentences(sentence_weights(articles), k)
+    """``[doc_id, sid, score]``: as ``score_sentences``, within the rows of documents."""
+    scored = _scores(F.col("weights"), k)
+    rows = weighed_documents(articles).select("doc_id", F.inline(scored))
+    return rows.select("doc_id", "sid", "score")
+
+
+def _best(scores: Column, n: int) -> Column:
+    """The ``n`` best of an array of ``(score, sid)``; of equal scores the later sentence
+    is kept."""
+    return F.slice(F.sort_array(scores, asc=False), 1, n)
 
 
 def top_sentences(scores: DataFrame, n: int = 3) -> DataFrame:
-    """``[doc_id, sid, score]`` of the ``n`` best sentences of each document; of
-    equal scores the later sentence is kept."""
-    best = W.partitionBy("doc_id").orderBy(F.desc("score"), F.desc("sid"))
-    return (
-        scores.withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= n)
-        .drop("place")
-    )
+    """``[doc_id, sid, score]`` of the ``n`` best sentences of each document, whose scores
+    fit in a row as its text did."""
+    listed = scores.groupBy("doc_id").agg(F.collect_list(F.struct("score", "sid")).alias("all"))
+    rows = listed.select("doc_id", F.inline(_best(F.col("all"), n)))
+    return rows.select("doc_id", "sid", "score")
 
 
 def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
     """``[doc_id, summary]``: the ``n`` best sentences in text order.
 
-    Documents without a scored sentence keep an empty summary. At most ``n``
-    numbers per document are joined to the bodies; the sentences are then picked
-    inside the row, sentence texts are never shuffled on their own.
+    Documents without a scored sentence keep an empty summary.
     """
-    picked = (
-        top_sentences(sentence_scores(articles, k), n)
-        .groupBy("doc_id")
-        .agg(F.collect_list("sid").alias("sids"))
-    )
-    bodies = placed_by_id(articles)
-    chosen = F.filter(
-        sentence_array(F.col("body")), lambda _, sid: F.array_contains("sids", sid)
-    )
-    return bodies.hint("merge").join(picked, "doc_id", "left").select(
-        "doc_id", F.coalesce(join_sentences(chosen), F.lit("")).alias("summary")
+    picked = weighed_documents(articles).select(
+        "doc_id",
+        "sentences",
+        F.transform(_best(_scores(F.col("weights"), k), n), lambda s: s["sid"]).alias("sids"),
     )
+    chosen = F.filter("sentences", lambda _, sid: F.array_contains("sids", sid))
+    return picked.select("doc_id", F.coalesce(join_sentences(chosen), F.lit("")).alias("summary"))

@@ -4,9 +4,8 @@
 ``df`` the number of documents that have the word and ``N`` the number of
 documents that have any word.
 
-Document frequencies are aggregated first (partial sums before the shuffle) and joined
-back, very frequent words in pieces. A document's terms are then brought together by its
-id alone, for its highest count, and stay so for whatever is joined to them by document.
+Figures of words and of documents are aggregated first (partial sums before the shuffle)
+and joined back, very frequent words and documents with very many terms in pieces.
 
 Counts are used in several places of one plan. The conditions ``> 0`` below hold
 for every row; they make each use need the same columns, so that Spark finds the
@@ -16,7 +15,6 @@ shuffles equal and texts are read, split and counted once.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gramrank.operators.counts import term_counts
@@ -43,33 +41,63 @@ def document_total(counts: DataFrame) -> DataFrame:
     return document_stats(counts).agg(F.count("*").alias("n_docs"))
 
 
-def _with_highest(terms: DataFrame) -> DataFrame:
-    """``terms`` with ``max_n``, the highest count of the document. A document's terms
-    are brought together, at most its vocabulary, as its text was in one row."""
-    document = W.partitionBy("doc_id")
-    return terms.where("n > 0").withColumn("max_n", F.max("n").over(document))
-
-
 def _tf() -> Column:
     return F.lit(0.5) + F.lit(0.5) * (F.col("n") / F.col("max_n"))
 
 
-def term_frequency(counts: DataFrame) -> DataFrame:
+def _with_highest(terms: DataFrame, counts: DataFrame, piece_rows: int) -> DataFrame:
+    """``terms`` with ``max_n``, the highest count of the document. Tasks find it for their
+    terms first; terms of a document that has very many are not brought together."""
+    highest = document_stats(counts)
+    return spread_join(terms, highest, "doc_id", "words", ["word"], piece_rows).drop("words")
+
+
+def term_frequency(counts: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """``[doc_id, word, n, max_n, tf]``."""
-    return _with_highest(counts).select("doc_id", "word", "n", "max_n", _tf().alias("tf"))
+    found = _with_highest(counts.where("n > 0"), counts, piece_rows)
+    return found.select("doc_id", "word", "n", "max_n", _tf().alias("tf"))
+
+
+def with_frequency(counts: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``[word, doc_id, n, df]``."""
+    frequency = document_frequency(counts)
+    return spread_join(counts.where("n > 0"), frequency, "word", "df", ["doc_id"], piece_rows)
 
 
 def tf_idf(articles: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``[doc_id, word, tf, df, tfidf]`` of articles with an id, placed by id."""
+    """``[doc_id, word, tf, df, tfidf]`` of articles with an id."""
     counts = term_counts(articles.where(F.col("doc_id").isNotNull()))
-    joined = spread_join(
-        counts.where("n > 0"), document_frequency(counts), "word", "df", ["doc_id"], piece_rows
-    )
     n_docs = document_total(counts).scalar()
-    return _with_highest(joined).select(
+    found = _with_highest(with_frequency(counts, piece_rows), counts, piece_rows)
+    return found.select(
         "doc_id",
         "word",
         _tf().alias("tf"),
         "df",
         (_tf() * F.log10(n_docs / F.col("df"))).alias("tfidf"),
     )
+
+
+def document_weights(articles: DataFrame) -> DataFrame:
+    """``[doc_id, words, weights]``: the words of each document and their TF-IDF values, as
+    two arrays in one row, placed by id. Ids are unique here, so a document has at most the
+    vocabulary of one text."""
+    counts = term_counts(articles.where(F.col("doc_id").isNotNull()))
+    n_docs = document_total(counts).scalar()
+    terms = (
+        with_frequency(counts)
+        .repartition("doc_id")
+        .groupBy("doc_id")
+        .agg(F.collect_list(F.struct("word", "n", "df")).alias("terms"))
+    )
+    max_n = F.array_max(F.transform("terms", lambda term: term["n"]))
+
+    def weight(term: Column) -> Column:
+        tf = F.lit(0.5) + F.lit(0.5) * (term["n"] / F.col("max_n"))
+        return tf * F.log10(F.col("n_docs") / term["df"])
+
+    return terms.select("doc_id", "terms", max_n.alias("max_n"), n_docs.alias("n_docs")).select(
+        "doc_id",
+        F.col("terms.word").alias("words"),
+        F.transform("terms", weight).alias("weights"),
+    )

@@ -27,6 +27,9 @@ KMEANS_ROUNDS = 10
 ELBOW_MAX_K = 9
 #: Rows of a piece where joins are to cut keys in tables of any size.
 SMALL_PIECE = 20
+#: Seed of random centroids, and restarts from them.
+DRAW_SEED = 11
+RANDOM_STARTS = 2
 PATTERN = "%widget%"
 HUB = "7"
 
@@ -285,26 +288,24 @@ def elbow_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elbow_random(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What holds for the curve of any random starts: a value for each k, none above that
-    of one cluster by more than the division by k allows."""
-    curve = K.elbow(_points(spark, sf_dir), ELBOW_MAX_K, KMEANS_ROUNDS, restarts=3, seed=11)
-    whole = curve.where("k = 1").select(F.col("sse")).scalar()
-    bounded = F.col("sse").between(0, whole / F.col("k") * 1.000001)
-    return curve.select("k", bounded.alias("bounded"))
+    curve = K.elbow(
+        _points(spark, sf_dir),
+        ELBOW_MAX_K,
+        KMEANS_ROUNDS,
+        restarts=RANDOM_STARTS,
+        seed=DRAW_SEED,
+        key=["name"],
+    )
+    return rounded(curve, sse=6)
 
 
 def random_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each k, how many coordinates of drawn centroids are those of points."""
-    points = _points(spark, sf_dir)
-    drawn = K.draw_centroids(points, range(1, ELBOW_MAX_K + 1), seed=11)
-    rows = [(len(run), x, y) for run in drawn for _, x, y in run]
-    starts = spark.createDataFrame(rows, "k int, x double, y double")
-    xs = points.select("x").distinct().withColumn("has_x", F.lit(1))
-    ys = points.select("y").distinct().withColumn("has_y", F.lit(1))
-    found = starts.join(xs, "x", "left").join(ys, "y", "left")
-    return found.groupBy("k").agg(
-        F.count("has_x").alias("known_x"), F.count("has_y").alias("known_y")
-    )
+    """The centroids drawn for each k."""
+    ks = range(1, ELBOW_MAX_K + 1)
+    drawn = K.draw_centroids(_points(spark, sf_dir), ks, seed=DRAW_SEED, key=["name"])
+    rows = [(len(run), cid, x, y) for run in drawn for cid, x, y in run]
+    starts = spark.createDataFrame(rows, "k int, centroid_id int, x double, y double")
+    return rounded(starts, x=9, y=9)
 
 
 def random_point(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,7 +357,9 @@ def letter_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def saved_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results.parse_clusters(tables.cluster_lines(spark, sf_dir))
+    path = new_shared_path(spark, "saved-clusters")
+    tables.cluster_lines(spark, sf_dir).write.text(path)
+    return results.read_clusters(spark, path)
 
 
 def saved_elbow(spark: SparkSession, sf_dir: str) -> DataFrame:

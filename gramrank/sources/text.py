@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gramrank import schemas
 from gramrank.functions.text import DELIMITER
+from gramrank.session import cut_lineage
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -80,15 +82,19 @@ def parse_links(lines: DataFrame) -> DataFrame:
     return edges.to(schemas.EDGES).distinct()
 
 
+#: Ranges that the splits of an input are dealt to when their rows are added up.
+SPLIT_RANGES = 32
+
+
 def with_line_ids(lines: DataFrame, value: str = "value") -> DataFrame:
     """``[id, value]`` with the 1-based line number as a string id.
 
     ``lines`` must come straight from a file scan. Rows of one input split are
     read in order by one task, so the number is the split's offset plus the
-    position in the split. Offsets come from one counting pass that yields a row
-    per split, ordered by file path and position in the file; more than one file
-    is numbered in path order. A split is known by a hash of its file and position;
-    how the offsets reach the lines is left to Spark.
+    position in the split. Offsets come from one counting pass, made when called, that
+    yields a row per split; more than one file is numbered in path order. A split is
+    known by a hash of its file and position; how the offsets reach the lines is left to
+    Spark.
     """
     tagged = lines.select(
         F.col(value).alias("value"),
@@ -100,18 +106,47 @@ def with_line_ids(lines: DataFrame, value: str = "value") -> DataFrame:
     splits = tagged.groupBy("_split", "_file", "_start").agg(
         F.count("*").alias("_rows"), F.min("_position").alias("_first")
     )
-    offsets = splits.selectExpr(
-        "_split",
-        "_first",
-        "coalesce(sum(_rows) over (order by _file, _start "
-        "rows between unbounded preceding and 1 preceding), 0) as _offset",
+    offsets = rows_before(splits, ["_file", "_start"], "_rows").select(
+        "_split", "_first", "_before"
     )
-    line_number = F.col("_offset") + F.col("_position") - F.col("_first") + 1
+    line_number = F.col("_before") + F.col("_position") - F.col("_first") + 1
     return tagged.join(offsets, "_split").select(
         line_number.cast("string").alias("id"), "value"
     )
 
 
+def rows_before(sizes: DataFrame, order: list[str], rows: str) -> DataFrame:
+    """``sizes`` with ``_before``: the sum of ``rows`` over all rows that come before in
+    the (unique) ``order``. Runs when called.
+
+    In two steps, so that no task sees all of them: rows are dealt to ``SPLIT_RANGES``
+    ranges of the order and added up within each; the totals of the ranges are one small
+    array, in which each gets the sum of those before it.
+    """
+    ranged = cut_lineage(
+        cut_lineage(sizes)
+        .repartitionByRange(SPLIT_RANGES, *order)
+        .withColumn("_range", F.spark_partition_id())
+    )
+    zero = F.lit(0).cast("long")
+
+    def earlier(part: Column) -> Column:
+        before = F.filter("parts", lambda other: other["_range"] < part["_range"])
+        total = F.aggregate(before, zero, lambda total, other: total + other["total"])
+        return F.struct(part["_range"].alias("_range"), total.alias("_earlier"))
+
+    ranges = (
+        ranged.groupBy("_range")
+        .agg(F.sum(rows).alias("total"))
+        .agg(F.collect_list(F.struct("_range", "total")).alias("parts"))
+        .select(F.inline(F.transform("parts", earlier)))
+    )
+    within = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(rows).over(within), zero) + F.col("_earlier")
+    found = ranged.join(ranges, "_range").withColumn("_before", before)
+    return found.select(*sizes.columns, "_before")
+
+
 def parse_titles(lines: DataFrame) -> DataFrame:
     """``[id, title]``: one title per line, the id is the line number."""
     return with_line_ids(lines).withColumnRenamed("value", "title").to(schemas.TITLES)

@@ -1,9 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from gramrank.functions.nearest import CentreTree
 from gramrank.operators.sampling import draw_rows, sample_one
 from gramrank.plans import kmeans as K
 from gramrank.plans import listings as L
@@ -170,6 +174,38 @@ def test_a_thousand_centroids(spark):
     assert {r["centroid_id"]: r["n"] for r in rows} == {c: n for c, (_, n) in expected.items()}
 
 
+def plain_nearest(centres, x, y):
+    d = [math.sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy)) for cx, cy in centres]
+    return min(range(len(d)), key=lambda i: (d[i], i)), min(d)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 60), st.sampled_from(["grid", "plane", "line", "far"]))
+def test_a_tree_finds_what_all_distances_find(seed, k, kind):
+    chance = random.Random(seed)
+    draw = {
+        "grid": lambda: (float(chance.randrange(5)), float(chance.randrange(5))),
+        "plane": lambda: (chance.gauss(0, 3), chance.gauss(0, 1e-3)),
+        "line": lambda: (1.0, chance.uniform(-1, 1)),
+        "far": lambda: (chance.choice([1e150, 0.0, -3.0, 1e-200]), chance.uniform(0, 1e-160)),
+    }[kind]
+    centres, points = [draw() for _ in range(k)], [draw() for _ in range(40)]
+    tree = CentreTree(*zip(*centres))
+    place, far = tree.nearest(*map(np.array, zip(*points)))
+    assert list(zip(place, far)) == [plain_nearest(centres, x, y) for x, y in points]
+
+
+def test_work_per_point_does_not_grow_with_the_centres():
+    chance = np.random.default_rng(2)
+    points = chance.uniform(0, 100, (2, 5000))
+    counts = {}
+    for k in (100, 1_000, 10_000):
+        tree = CentreTree(*chance.uniform(0, 100, (2, k)))
+        tree.nearest(*points)
+        counts[k] = tree.compared / 5000
+    assert counts[10_000] < 1.3 * counts[100] < 40
+
+
 def test_points_without_coordinates_take_no_part(spark):
     rows = [("a", 1.0, 1.0), ("b", 3.0, 3.0), ("c", None, 2.0), ("d", 2.0, None)]
     df = spark.createDataFrame(rows, "name string, x double, y double")

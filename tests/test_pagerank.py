@@ -1,5 +1,6 @@
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from gramrank.plans import pagerank as P
 from gramrank.sources import text as X
@@ -96,6 +97,65 @@ def test_subgraph_with_hub(spark, links):
     assert [(r["id"], r["title"]) for r in titled] == [("3", "surfing")]
 
 
+def _moves(df):
+    """Names of the exchanges in a plan, without those by which kept tables were made."""
+    found, open_nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while open_nodes:
+        node = open_nodes.pop()
+        assert "Adaptive" not in node.nodeName()
+        if "Exchange" in node.nodeName():
+            found.append(node.nodeName())
+        children = node.children()
+        open_nodes += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.mark.parametrize("partitions", [2, 3, 8])
+@pytest.mark.parametrize("piece_rows, every", [(1_000_000, 4), (10, 1)])
+def test_one_exchange_a_round_from_the_first_on(spark, monkeypatch, partitions, piece_rows, every):
+    """No cut's plan moves the kept edges, and none moves ranks but to their targets."""
+    plans = []
+
+    def noted(keep):
+        def run(*args):
+            ranks = args[-1]
+            if "rank" in ranks.columns:
+                plans.append(_moves(ranks))
+            return keep(*args)
+
+        return run
+
+    monkeypatch.setattr(P, "_partitions", lambda edges, cores: partitions)
+    monkeypatch.setattr(P, "cut_lineage", noted(P.cut_lineage))
+    monkeypatch.setattr(P, "_named", noted(P._named))
+    edges = [("0", str(i)) for i in range(1, 40)] + [(str(i), "0") for i in range(1, 40)]
+    edges += [(str(i), str(i * 7 % 40)) for i in range(1, 40)]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    found = as_dict(P.pagerank(df, iterations=9, rounds_per_cut=4, piece_rows=piece_rows))
+    assert found == pytest.approx(plain.pagerank(edges, False, 9), abs=1e-12)
+    assert len(plans) == -(-9 // every)
+    for number, moves in enumerate(plans):
+        rounds = min(every, 9 - number * every)
+        broadcasts = moves.count("BroadcastExchange")
+        assert len(moves) - broadcasts == rounds
+        assert broadcasts == 0 if every > 1 else broadcasts <= 2
+
+
+def test_edges_of_a_hot_source_are_spread(spark, monkeypatch):
+    kept = []
+    plain_join = P._passed_on
+    monkeypatch.setattr(P, "_passed_on", lambda tables, *rest: kept.append(
+        [t.groupBy(F.input_file_name()).count().collect() for t in tables]
+    ) or plain_join(tables, *rest))
+    monkeypatch.setattr(P, "_partitions", lambda edges, cores: 8)
+    edges = [("0", str(i)) for i in range(1, 2000)] + [(str(i), "0") for i in range(1, 2000)]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    P.pagerank(df, iterations=1, piece_rows=100)
+    cold, hot = kept[0]
+    assert sum(r["count"] for r in cold) == sum(r["count"] for r in hot) == 1999
+    assert len(hot) == 8 and max(r["count"] for r in hot) < 400
+
+
 def test_nothing_is_left_behind(spark, links):
     """No cached table, no changed setting, no view."""
     before = spark.conf.get("spark.sql.shuffle.partitions")

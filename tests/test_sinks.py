@@ -1,9 +1,11 @@
 import os
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gramrank import jobs, schemas
-from gramrank.session import new_shared_path, shared_dir
+from gramrank.session import new_shared_path, shared_dir, sibling_session
 from gramrank.sources import results, sinks
 from gramrank.sources import text as X
 
@@ -60,6 +62,54 @@ def test_clusters_and_elbow(lines):
     ]
 
 
+@pytest.fixture
+def small_splits(spark):
+    """A session whose readers cut files into small parts."""
+    return sibling_session(
+        spark,
+        {"spark.sql.files.maxPartitionBytes": "100", "spark.sql.files.openCostInBytes": "1"},
+    )
+
+
+@pytest.mark.parametrize("end", ["\n", ""])
+def test_members_are_read_one_by_one(small_splits, tmp_path, end):
+    chance = random.Random(3)
+    expected, folder = [], tmp_path / "clusters"
+    folder.mkdir()
+    for part in range(3):
+        lines = []
+        for cluster in range(8):
+            cid = 10 * part + cluster
+            members = [
+                (chance.choice(["Plain", "One, Inc.", "A, B, C", "((odd", "x" * 90, "e),[d"]), float(i), -0.5)
+                for i in range(chance.choice([0, 1, 2, 30]))
+            ]
+            expected += [(cid, 1.5, float(part), *m) for m in members]
+            written = ", ".join(f"({n}, {x}, {y})" for n, x, y in members)
+            lines.append(f"((centroid{cid}, 1.5, {float(part)}),[{written}])")
+        (folder / f"part-{part}").write_text("\n".join(lines) + end)
+    read = results.read_clusters(small_splits, str(folder))
+    assert sorted(map(tuple, read.collect())) == sorted(expected)
+    whole = results.parse_clusters(X.read_lines(small_splits, str(folder)))
+    named = [tuple(r) for r in whole.collect() if r["name"] and "odd" not in r["name"]]
+    assert sorted(named) == sorted(row for row in expected if "odd" not in row[3])
+
+
+def test_a_cluster_of_a_million_members_in_several_splits(spark, tmp_path):
+    path = tmp_path / "cluster"
+    with path.open("w") as file:
+        file.write("((centroid7, 1.0, 2.0),[")
+        file.write(", ".join(f"(m{i}, {i}.0, 0.5)" for i in range(1_000_000)))
+        file.write("])\n((centroid8, 3.0, 4.0),[(last, 1.0, 1.0)])\n")
+    session = sibling_session(spark, {"spark.sql.files.maxPartitionBytes": "4m"})
+    found = results.read_clusters(session, str(path))
+    assert session.read.option("lineSep", "), (").text(str(path)).rdd.getNumPartitions() > 4
+    row = found.groupBy("centroid_id", "cx").agg(F.count("*"), F.sum("x"), F.count_distinct("name"))
+    assert sorted(map(tuple, row.collect())) == [
+        (7, 1.0, 1_000_000, 499999500000.0, 1_000_000), (8, 3.0, 1, 1.0, 1)
+    ]
+
+
 def test_shared_folder_is_kept(spark):
     assert shared_dir(spark) == shared_dir(spark)
     assert new_shared_path(spark, "a") != new_shared_path(spark, "a")

@@ -1,10 +1,15 @@
+import random
 import re
 
 import plain
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gramrank.operators import skew
+from gramrank.operators import skew, topk
+from gramrank.operators.counts import term_counts
 from gramrank.plans import summary as S
 from gramrank.plans import tfidf as T
 from gramrank.sources.text import first_per_id
@@ -146,10 +151,12 @@ def test_terms_cross_the_network_twice_after_counting(articles):
     pre-aggregated figures of words and documents."""
     tf_idf = _shuffle_keys(T.tf_idf(articles))
     cut = ("_groupingexpression",)
-    assert set(tf_idf) == {("doc_id", "word"), ("word",), ("word", "_salt"), ("doc_id",), cut}
+    assert set(tf_idf) == {
+        ("doc_id", "word"), ("word",), ("word", "_salt"), ("doc_id",), ("doc_id", "_salt"), cut
+    }
     # the texts lie by id, so that terms are counted in place
     summaries = _shuffle_keys(S.summarize(articles))
-    assert set(summaries) == set(tf_idf) - {("doc_id", "word")}
+    assert set(summaries) == {("word",), ("word", "_salt"), ("doc_id",), cut}
 
 
 def _shuffle_keys(df):
@@ -159,8 +166,81 @@ def _shuffle_keys(df):
     ]
 
 
-def test_no_window_over_words(articles):
-    plan = T.tf_idf(articles)._jdf.queryExecution().toString()
-    assert "windowspecdefinition(doc_id" in plan
-    assert "windowspecdefinition(word" not in plan
-    assert "Cartesian" not in plan
+def test_no_window_over_words_or_documents(articles):
+    for df in (T.tf_idf(articles), S.summarize(articles), S.sentence_scores(articles),
+               S.top_weights(S.sentence_weights(articles))):
+        plan = df._jdf.queryExecution().toString()
+        assert "Window" not in plan
+        assert "Cartesian" not in plan
+
+
+def test_sentence_words_are_looked_up_in_the_row(articles):
+    """Nothing is joined by document and word, and no sentence word is sorted."""
+    for df in (S.sentence_weights(articles), S.summarize(articles)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        joins = re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash)Join \[(.*?)\]", plan)
+        keys = {re.sub(r"#\d+L?", "", key) for key in joins}
+        assert keys and "doc_id, word" not in keys and keys <= {"doc_id", "word, _salt", "_hash"}
+        assert "sid" not in "".join(re.findall(r"Sort \[(.*?)\]", plan))
+
+
+@settings(max_examples=100, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.lists(st.lists(st.sampled_from("abcdé"), max_size=4), max_size=4),
+            st.dictionaries(st.sampled_from("abcxé"), st.floats(-1, 1), max_size=4),
+        ),
+        max_size=6,
+    )
+)
+def test_look_up_equals_dictionaries(rows):
+    lines = pa.array([line for line, _ in rows], pa.list_(pa.list_(pa.string())))
+    words = pa.array([list(d) for _, d in rows], pa.list_(pa.string()))
+    weights = pa.array([list(d.values()) for _, d in rows], pa.list_(pa.float64()))
+    want = [[[d.get(w) for w in line] for line in sent] for sent, d in rows]
+    assert S.look_up(lines, words, weights).to_pylist() == want
+    cut = [x.slice(1) for x in (lines, words, weights)]
+    assert S.look_up(*cut).to_pylist() == want[1:]
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_best_values_equal_sorted_lists(spark, partitions):
+    chance = random.Random(6)
+    rows = [(chance.choice(["a", "b", None, "c"]), chance.randrange(3), chance.choice([0.5, 0.25, None, 1.0]))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "key string, part int, v double").repartition(partitions)
+    found = {(r["key"], r["part"]): r["best"] for r in topk.best_values(df, ["key", "part"], "v", 4).collect()}
+    groups = {}
+    for key, part, v in rows:
+        if v is not None:
+            groups.setdefault((key, part), []).append(v)
+    assert found == {g: sorted(v, reverse=True)[:4] for g, v in groups.items()}
+
+
+def test_a_task_hands_on_at_most_k_values_of_a_group(spark):
+    df = spark.range(10_000, numPartitions=2).selectExpr("id % 2 as key", "cast(id as double) as v")
+    best = topk.best_values(df, ["key"], "v", 3)
+    assert sorted(map(tuple, best.collect())) == [(0, [9998.0, 9996.0, 9994.0]), (1, [9999.0, 9997.0, 9995.0])]
+    batch = pa.record_batch([pa.array([1, 0, 1, 1, 1]), pa.array([0.5, 2.0, 4.0, 1.0, 3.0])], names=["key", "v"])
+    assert topk._best_of_batch(batch, 1, 2).to_pylist() == [
+        {"key": 1, "best": [4.0, 3.0]}, {"key": 0, "best": [2.0]}
+    ]
+
+
+def test_a_document_of_very_many_terms_is_cut(spark):
+    """A hot id, repeated in many rows: its terms lie in many tasks."""
+    rows = [("hot", " ".join(f"w{j}" for j in range(i, i + 50)) + " w1") for i in range(0, 1000, 50)]
+    rows += [(str(i), "w1 w2 w2") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id string, body string")
+    counts = term_counts(df)
+    found = T.term_frequency(counts, piece_rows=100)
+    assert {(r["doc_id"], r["word"]): r["tf"] for r in found.collect()} == pytest.approx(
+        {(r["doc_id"], r["word"]): r["tf"] for r in T.term_frequency(counts).collect()}
+    )
+    weights = {(r["doc_id"], r["word"]): r["tfidf"] for r in T.tf_idf(df, piece_rows=100).collect()}
+    assert weights == pytest.approx(plain.tf_idf(rows), abs=1e-12)
+    hot = skew.hot_keys(T.document_stats(counts), "doc_id", "words", 100)
+    spread = skew.add_salt(counts.where("n > 0"), hot, "doc_id", ["word"]).where("doc_id = 'hot'")
+    sizes = [r["count"] for r in spread.groupBy("_salt").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200

@@ -1,3 +1,6 @@
+import random
+import re
+
 import plain
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -127,3 +130,52 @@ def test_line_ids_of_several_files_go_by_path(spark, text_file):
         "4": "fourth",
         "5": "fifth",
     }
+
+
+def test_rows_before_equal_running_sums(spark):
+    chance = random.Random(4)
+    sizes = [(f"file{i:03}", 10 * j, chance.randrange(5)) for i in range(60) for j in range(i % 7 + 1)]
+    shuffled = chance.sample(sizes, len(sizes))
+    df = spark.createDataFrame(shuffled, "file string, start long, n long").repartition(5)
+    found = X.rows_before(df, ["file", "start"], "n").orderBy("file", "start").collect()
+    total = 0
+    for row, size in zip(found, sizes, strict=True):
+        assert tuple(row) == (*size, total)
+        total += size[2]
+    assert X.rows_before(df.where("n < 0"), ["file", "start"], "n").count() == 0
+
+
+def test_no_window_without_partition(spark, text_file):
+    """Not for the numbers of lines either: no task sees all splits."""
+    path = text_file("titles.txt", "a", "b")
+    seen = []
+    plain_cut = X.cut_lineage
+    try:
+        X.cut_lineage = lambda df: seen.append(df) or plain_cut(df)
+        seen.append(X.parse_titles(X.read_lines(spark, path)))
+    finally:
+        X.cut_lineage = plain_cut
+    windows = [
+        spec
+        for df in seen
+        for spec in re.findall(r"windowspecdefinition\((.*?)specifiedwindowframe", df._jdf.queryExecution().toString())
+    ]
+    assert windows and all(spec.startswith("_range") for spec in windows)
+
+
+def test_a_task_hands_on_at_most_n_words(spark):
+    words = [f"w{i:05}" for i in range(5000)]
+    random.Random(1).shuffle(words)
+    arrays = spark.createDataFrame(
+        [(words[i : i + 50],) for i in range(0, 5000, 50)] + [(["w00000", None],), (None,), ([],)],
+        "words array<string>",
+    ).repartition(3)
+    capped = profiles.first_per_task(arrays, 20)
+    assert capped.count() <= 60
+    found = {r["word"] for r in capped.collect()}
+    assert found >= {f"w{i:05}" for i in range(20)}
+    assert profiles.first_per_task(arrays, 0).count() == 0
+    plan = profiles.profile_vocabulary(
+        spark.createDataFrame([("1", "a b")], "doc_id string, body string")
+    )._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("MapInArrow")
