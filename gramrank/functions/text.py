@@ -18,7 +18,7 @@ _NOISE = r"[!-/:-`{-\x{10ffff}\x00-\x08\x0b\x0e-\x1f]+"
 _NOISE_IN_SENTENCE = r"[!-/:-`{-\x{10ffff}\x00-\x1f]+"
 
 # Stands for "a token of which nothing was left"; never survives cleaning itself.
-_STRIPPED = "\u0001"
+STRIPPED = "\u0001"
 
 
 def has_ink(text: Column) -> Column:
@@ -40,13 +40,16 @@ def raw_words(text: Column, keep_empty: bool = False) -> Column:
     :func:`strip_mark` turns it into the empty word. Array elements that are
     empty (text starting or ending with a separator) are no tokens.
     """
-    filler = _STRIPPED if keep_empty else ""
-    cleaned = F.regexp_replace(F.lower(text), _NOISE, filler)
-    return F.split(cleaned, TOKEN_GAP)
+    return F.split(cleaned_text(text, keep_empty), TOKEN_GAP)
+
+
+def cleaned_text(text: Column, keep_empty: bool = False) -> Column:
+    """A text's words and the gaps between them."""
+    return F.regexp_replace(F.lower(text), _NOISE, STRIPPED if keep_empty else "")
 
 
 def strip_mark(word: Column) -> Column:
-    return F.replace(word, F.lit(_STRIPPED), F.lit(""))
+    return F.replace(word, F.lit(STRIPPED), F.lit(""))
 
 
 def sentence_array(body: Column) -> Column:

@@ -9,39 +9,39 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramrank.functions.text import raw_words, strip_mark
+from gramrank.functions.text import STRIPPED, TOKEN_GAP, cleaned_text
 from gramrank.operators.counts import corpus_counts, term_counts
 
 
-def first_per_task(arrays: DataFrame, n: int) -> DataFrame:
-    """``[word]``: of the words in each task's arrays (one column) the first ``n`` distinct
-    ones in byte order, nulls left out.
+def first_per_task(texts: DataFrame, n: int) -> DataFrame:
+    """``[word]``: of the words in each task's cleaned texts (one column, ``cleaned_text``
+    with ``keep_empty``) the first ``n`` distinct ones in byte order.
 
     A task holds a sorted set of at most ``n`` words. Once it is full, words behind its
-    last one are sorted out by a comparison before anything else is done with them."""
+    last one are sorted out by a comparison."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pa.array([], pa.string())
         for batch in batches:
-            words = batch.column(0).flatten()
+            tokens = pc.split_pattern_regex(batch.column(0).drop_null(), TOKEN_GAP).flatten()
+            words = pc.unique(tokens)
+            words = words.filter(pc.not_equal(words, ""))
+            words = pc.replace_substring(words, STRIPPED, "")
             if len(held) == n:
                 words = words.filter(pc.less(words, held[-1]))
-            words = pa.concat_arrays([held, pc.unique(words.drop_null())])
-            held = pc.unique(words).sort()[:n]
+            held = pc.unique(pa.concat_arrays([held, words])).sort()[:n]
         yield pa.record_batch([held], names=["word"])
 
     if n <= 0:
-        return arrays.select(F.lit("").alias("word")).limit(0)
-    return arrays.mapInArrow(first, "word string")
+        return texts.select(F.lit("").alias("word")).limit(0)
+    return texts.mapInArrow(first, "word string")
 
 
 def profile_vocabulary(articles: DataFrame, n: int = 500) -> DataFrame:
     """First ``n`` distinct words in byte order, the empty word included. At most ``n``
     words a task are shuffled, however large the vocabulary is."""
-    tokens = F.filter(raw_words(F.col("body"), keep_empty=True), lambda word: word != "")
-    words = F.array_distinct(F.transform(tokens, strip_mark)).alias("words")
-    capped = first_per_task(articles.select(words), n)
-    return capped.distinct().orderBy("word").limit(n)
+    texts = articles.select(cleaned_text(F.col("body"), keep_empty=True).alias("text"))
+    return first_per_task(texts, n).distinct().orderBy("word").limit(n)
 
 
 def profile_doc_terms(articles: DataFrame, n: int = 500) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.functions.text import join_sentences, sentence_array, sentence_word_array
@@ -48,65 +48,104 @@ def _offsets(lists: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
 
-def look_up(sentences: pa.Array, words: pa.Array, weights: pa.Array) -> pa.Array:
-    """For rows of sentences (lists of words) the weights of their words in the row's own
-    ``words`` and ``weights``, null for a word that is not among them."""
-    by_row, by_sentence = _offsets(sentences), _offsets(lines := sentences.flatten())
-    rows = np.arange(len(sentences))
-    row_of_known = np.repeat(rows, np.diff(_offsets(words)))
-    row_of_word = np.repeat(np.repeat(rows, np.diff(by_row)), np.diff(by_sentence))
-    known, asked = words.flatten(), lines.flatten()
-    codes = pa.concat_arrays([known, asked]).dictionary_encode().indices.to_numpy()
-    # a row and a word in one whole number
-    span = int(codes.max(initial=0)) + 1
-    keys = row_of_known * span + codes[: len(known)]
-    wanted = row_of_word * span + codes[len(known) :]
-    order = np.argsort(keys, kind="stable")
-    at = np.minimum(np.searchsorted(keys[order], wanted), max(len(keys) - 1, 0))
-    if len(keys):
-        found = keys[order][at] == wanted
-        values = weights.flatten().to_numpy(zero_copy_only=False)[order][at]
-    else:
-        found, values = np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
-    flat = pa.array(values, pa.float64(), mask=~found)
-    return pa.ListArray.from_arrays(
-        pa.array(by_row), pa.ListArray.from_arrays(pa.array(by_sentence), flat)
-    )
+class Weighed:
+    """Sentences (lists of words) of a batch of rows, with the weights their words have
+    among the row's own ``words`` and ``weights``; ``known`` says which are there."""
+
+    def __init__(self, sentences: pa.Array, words: pa.Array, weights: pa.Array):
+        lines = sentences.flatten()
+        self.by_row, self.by_sentence = _offsets(sentences), _offsets(lines)
+        rows = np.arange(len(sentences))
+        self.row_of_sentence = np.repeat(rows, np.diff(self.by_row))
+        self.sentence_of_word = np.repeat(np.arange(len(lines)), np.diff(self.by_sentence))
+        row_of_known = np.repeat(rows, np.diff(_offsets(words)))
+        listed, asked = words.flatten(), lines.flatten()
+        codes = pa.concat_arrays([listed, asked]).dictionary_encode().indices.to_numpy()
+        # a row and a word in one whole number
+        span = int(codes.max(initial=0)) + 1
+        keys = row_of_known * span + codes[: len(listed)]
+        wanted = self.row_of_sentence[self.sentence_of_word] * span + codes[len(listed) :]
+        order = np.argsort(keys, kind="stable")
+        if len(keys):
+            keys = keys[order]
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            self.known = keys[at] == wanted
+            self.values = weights.flatten().to_numpy(zero_copy_only=False)[order][at]
+        else:
+            self.known, self.values = np.zeros(len(wanted), dtype=bool), np.zeros(len(wanted))
+
+    def lists(self) -> pa.Array:
+        """The weights as lists of the sentences' shape, null for unknown words."""
+        flat = pa.array(self.values, pa.float64(), mask=~self.known)
+        lines = pa.ListArray.from_arrays(pa.array(self.by_sentence), flat)
+        return pa.ListArray.from_arrays(pa.array(self.by_row), lines)
+
+    def scores(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sum of the ``k`` best weights of each sentence, and whether it has any. Added up
+        from the largest down, so sentences with the same values have the same score to the
+        last bit and the tie rule applies to them."""
+        sentence, value = self.sentence_of_word[self.known], self.values[self.known]
+        order = np.lexsort((-value, sentence))
+        sentence, value = sentence[order], value[order]
+        place = np.arange(len(sentence)) - np.searchsorted(sentence, sentence)
+        score = np.zeros(len(self.row_of_sentence))
+        for i in range(k):
+            score[sentence[place == i]] += value[place == i]
+        scored = np.zeros(len(score), dtype=bool)
+        scored[sentence] = True
+        return score, scored
+
+    def best(self, k: int, n: int) -> pa.Array:
+        """Numbers of the ``n`` best sentences of each row, in text order; of equal scores
+        the later sentences."""
+        score, scored = self.scores(k)
+        row = self.row_of_sentence
+        number = np.arange(len(row)) - self.by_row[row]
+        order = np.lexsort((-number, -score, row))
+        order = order[scored[order]]
+        place = np.arange(len(order)) - np.searchsorted(row[order], row[order])
+        chosen = np.sort(order[place < n])
+        sizes = np.bincount(row[chosen], minlength=len(self.by_row) - 1)
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(
+            pa.array(offsets), pa.array(number[chosen].astype(np.int32))
+        )
 
 
-def weighed_documents(articles: DataFrame) -> DataFrame:
-    """``[doc_id, sentences, words, weights]``, a row a document: its sentences in order,
-    the distinct words of each and their TF-IDF values, null for what is no document word.
+def _in_rows(articles: DataFrame) -> DataFrame:
+    """``[doc_id, sentences, lines, known, weights]``, a row a document: its sentences in
+    order, the distinct words of each, and the words of the document with their TF-IDF
+    values.
 
     Texts and weights meet by id where they lie (in sessions of ``build_session``, which
     allow it; else texts are shuffled once more). They are many times larger than the files
     they come from, so their size is not to be judged by that: the merge hint rules out
-    that either is broadcast."""
+    that either is broadcast. One-row explodes keep what was split as columns; it would
+    else be split again for each use."""
     placed = placed_by_id(articles)
     joined = placed.hint("merge").join(document_weights(placed), "doc_id", "left")
-    split = joined.withColumn("sentences", sentence_array(F.col("body"))).withColumn(
-        "lines", F.transform("sentences", sentence_word_array)
-    )
-    none = F.array().cast("array<string>"), F.array().cast("array<double>")
-    weigh = F.arrow_udf(look_up, "array<array<double>>")
+    split = joined.withColumn("sentences", F.explode(F.array(sentence_array(F.col("body")))))
     return split.select(
         "doc_id",
         "sentences",
-        F.col("lines").alias("words"),
-        weigh("lines", F.coalesce("words", none[0]), F.coalesce("weights", none[1])).alias("weights"),
+        F.transform("sentences", sentence_word_array).alias("lines"),
+        F.coalesce("words", F.array().cast("array<string>")).alias("known"),
+        F.coalesce("weights", F.array().cast("array<double>")).alias("weights"),
     )
 
 
 def sentence_weights(articles: DataFrame) -> DataFrame:
     """``[doc_id, sid, word, tfidf]`` of sentence words that are document words."""
-    pairs = F.transform(
-        F.arrays_zip("words", "weights"),
-        lambda line: F.arrays_zip(line["words"].alias("word"), line["weights"].alias("tfidf")),
+    weigh = F.arrow_udf(lambda *row: Weighed(*row).lists(), "array<array<double>>")
+    rows = _in_rows(articles).withColumn("lines", F.explode(F.array("lines")))
+    weighed = rows.select("doc_id", "lines", weigh("lines", "known", "weights").alias("weights"))
+    lines = weighed.select(
+        "doc_id", F.posexplode(F.arrays_zip("lines", "weights")).alias("sid", "line")
+    )
+    pairs = F.arrays_zip(F.col("line.lines").alias("word"), F.col("line.weights").alias("tfidf"))
+    return lines.select("doc_id", "sid", F.inline(pairs).alias("word", "tfidf")).where(
+        "tfidf is not null"
     )
-    lines = weighed_documents(articles).select("doc_id", F.posexplode(pairs).alias("sid", "pairs"))
-    return lines.select(
-        "doc_id", "sid", F.inline("pairs").alias("word", "tfidf")
-    ).where("tfidf is not null")
 
 
 def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
@@ -117,49 +156,34 @@ def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
     return places.withColumn("place", F.col("place") + 1)
 
 
-def _total(best: Column) -> Column:
-    """Added up from the largest down, so sentences with the same values have the same
-    score to the last bit and the tie rule applies to them."""
-    return F.aggregate(best, F.lit(0.0), lambda total, value: total + value)
-
-
 def score_sentences(weights: DataFrame, k: int = 5) -> DataFrame:
-    """``[doc_id, sid, score]``: sum of the ``k`` best values of each sentence."""
+    """``[doc_id, sid, score]``: sum of the ``k`` best values of each sentence, added up
+    from the largest down."""
     best = best_values(weights, ["doc_id", "sid"], "tfidf", k)
-    return best.select("doc_id", "sid", _total(F.col("best")).alias("score"))
-
-
-def _scores(weights: Column, k: int) -> Column:
-    """Array of ``(score, sid)`` of the sentences of a row that have a scored word."""
-
-    def score(line: Column, sid: Column) -> Column:
-        best = F.slice(F.sort_array(F.filter(line, lambda w: w.isNotNull()), asc=False), 1, k)
-        return F.struct(
-            F.when(F.size(best) > 0, _total(best)).alias("score"), sid.alias("sid")
-        )
-
-    return F.filter(F.transform(weights, score), lambda s: s["score"].isNotNull())
+    total = F.aggregate("best", F.lit(0.0), lambda total, value: total + value)
+    return best.select("doc_id", "sid", total.alias("score"))
 
 
 def sentence_scores(articles: DataFrame, k: int = 5) -> DataFrame:
     """``[doc_id, sid, score]``: as ``score_sentences``, within the rows of documents."""
-    scored = _scores(F.col("weights"), k)
-    rows = weighed_documents(articles).select("doc_id", F.inline(scored))
-    return rows.select("doc_id", "sid", "score")
 
+    @F.arrow_udf("array<double>")
+    def scores(lines: pa.Array, known: pa.Array, weights: pa.Array) -> pa.Array:
+        weighed = Weighed(lines, known, weights)
+        score, scored = weighed.scores(k)
+        flat = pa.array(score, pa.float64(), mask=~scored)
+        return pa.ListArray.from_arrays(pa.array(weighed.by_row), flat)
 
-def _best(scores: Column, n: int) -> Column:
-    """The ``n`` best of an array of ``(score, sid)``; of equal scores the later sentence
-    is kept."""
-    return F.slice(F.sort_array(scores, asc=False), 1, n)
+    listed = F.posexplode(scores("lines", "known", "weights")).alias("sid", "score")
+    return _in_rows(articles).select("doc_id", listed).where("score is not null")
 
 
 def top_sentences(scores: DataFrame, n: int = 3) -> DataFrame:
     """``[doc_id, sid, score]`` of the ``n`` best sentences of each document, whose scores
-    fit in a row as its text did."""
+    fit in a row as its text did; of equal scores the later sentence is kept."""
     listed = scores.groupBy("doc_id").agg(F.collect_list(F.struct("score", "sid")).alias("all"))
-    rows = listed.select("doc_id", F.inline(_best(F.col("all"), n)))
-    return rows.select("doc_id", "sid", "score")
+    best = F.slice(F.sort_array("all", asc=False), 1, n)
+    return listed.select("doc_id", F.inline(best)).select("doc_id", "sid", "score")
 
 
 def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
@@ -167,10 +191,9 @@ def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
 
     Documents without a scored sentence keep an empty summary.
     """
-    picked = weighed_documents(articles).select(
-        "doc_id",
-        "sentences",
-        F.transform(_best(_scores(F.col("weights"), k), n), lambda s: s["sid"]).alias("sids"),
+    pick = F.arrow_udf(lambda *row: Weighed(*row).best(k, n), "array<int>")
+    picked = _in_rows(articles).select(
+        "doc_id", "sentences", pick("lines", "known", "weights").alias("sids")
     )
     chosen = F.filter("sentences", lambda _, sid: F.array_contains("sids", sid))
     return picked.select("doc_id", F.coalesce(join_sentences(chosen), F.lit("")).alias("summary"))

@@ -84,19 +84,20 @@ def document_weights(articles: DataFrame) -> DataFrame:
     vocabulary of one text."""
     counts = term_counts(articles.where(F.col("doc_id").isNotNull()))
     n_docs = document_total(counts).scalar()
+    # the highest count comes out of the grouping: as an expression over the array it would
+    # be worked out again for each element
     terms = (
         with_frequency(counts)
         .repartition("doc_id")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("word", "n", "df")).alias("terms"))
+        .agg(F.collect_list(F.struct("word", "n", "df")).alias("terms"), F.max("n").alias("max_n"))
     )
-    max_n = F.array_max(F.transform("terms", lambda term: term["n"]))
 
     def weight(term: Column) -> Column:
         tf = F.lit(0.5) + F.lit(0.5) * (term["n"] / F.col("max_n"))
         return tf * F.log10(F.col("n_docs") / term["df"])
 
-    return terms.select("doc_id", "terms", max_n.alias("max_n"), n_docs.alias("n_docs")).select(
+    return terms.withColumn("n_docs", n_docs).select(
         "doc_id",
         F.col("terms.word").alias("words"),
         F.transform("terms", weight).alias("weights"),

@@ -199,9 +199,13 @@ def test_look_up_equals_dictionaries(rows):
     words = pa.array([list(d) for _, d in rows], pa.list_(pa.string()))
     weights = pa.array([list(d.values()) for _, d in rows], pa.list_(pa.float64()))
     want = [[[d.get(w) for w in line] for line in sent] for sent, d in rows]
-    assert S.look_up(lines, words, weights).to_pylist() == want
+    assert S.Weighed(lines, words, weights).lists().to_pylist() == want
     cut = [x.slice(1) for x in (lines, words, weights)]
-    assert S.look_up(*cut).to_pylist() == want[1:]
+    assert S.Weighed(*cut).lists().to_pylist() == want[1:]
+    for row, numbers in zip(want, S.Weighed(lines, words, weights).best(2, 2).to_pylist(), strict=True):
+        values = [sorted((v for v in line if v is not None), reverse=True)[:2] for line in row]
+        scores = [(0.0 + sum(v), i) for i, v in enumerate(values) if v]
+        assert numbers == sorted(i for _, i in sorted(scores)[-2:])
 
 
 @pytest.mark.parametrize("partitions", [1, 4])
