@@ -2,8 +2,9 @@
 
 First-fit decreasing: within a group the longest piece comes first and goes into the
 first sequence with room for it. A tournament tree over the room left in the
-sequences finds that one in logarithmic time. Groups are drawn by a hash, so they are
-packed independently of each other, in parallel, and each is of bounded size.
+sequences finds that one in logarithmic time. Pieces are written once, each with a key,
+and groups are drawn by a hash of it, so they are packed independently of each other, in
+parallel, and each is of bounded size, whatever the texts are.
 """
 
 from __future__ import annotations
@@ -16,14 +17,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.llm import wordbpe
+from gramrank.session import new_shared_path
 
 PIECES = "doc_id {id}, start long, length long, doc_tokens long, ids binary"
 PACKED = (
     "doc_id {id}, start long, length long, doc_tokens long, sequence_id long,"
     " offset long, token_ids binary"
 )
-#: Sequences of a group, on the average at four bytes of text to an id or fewer.
-GROUP_TEXT_BYTES = 8 << 20
+#: Ids and pieces of a group, on the average.
+GROUP_IDS = 2 << 20
+GROUP_PIECES = 200_000
 
 
 class FirstFit:
@@ -147,7 +150,8 @@ def pack_documents(
     tokenizer_path: str,
     capacity: int = 4096,
     end_id: int = 2,
-    group_text_bytes: int = GROUP_TEXT_BYTES,
+    group_ids: int = GROUP_IDS,
+    group_pieces: int = GROUP_PIECES,
     seed: int = 11,
 ) -> DataFrame:
     """Pieces of all documents, each with its place in a sequence of ``capacity`` ids.
@@ -159,12 +163,18 @@ def pack_documents(
 
     Result: ``doc_id, start, length, doc_tokens, sequence_id, offset`` and
     ``token_ids`` (little-endian, four bytes an id); a sequence is its pieces in order
-    of ``offset``, gapless from 0.
+    of ``offset``, gapless from 0. Runs when called: pieces are written to the shared folder.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = -(-size // group_text_bytes) or 1
-    pieces = tokenize_pieces(docs, tokenizer_path, capacity, end_id)
-    drawn = F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids"), F.lit(seed)), F.lit(groups))
+    spark = docs.sparkSession
+    path = new_shared_path(spark, "packing-pieces")
+    keyed = tokenize_pieces(docs, tokenizer_path, capacity, end_id).withColumn(
+        "piece_key", F.monotonically_increasing_id()
+    )
+    keyed.write.option("compression", "zstd").parquet(path)
+    pieces = spark.read.parquet(path)
+    n_ids, n_pieces = pieces.agg(F.sum("length"), F.count(F.lit(1))).first()
+    groups = max(-(-(n_ids or 0) // group_ids), -(-n_pieces // group_pieces), 1)
+    drawn = F.pmod(F.xxhash64("piece_key", F.lit(seed)), F.lit(groups))
     schema = PACKED.format(id=pieces.schema["doc_id"].dataType.simpleString())
     width = np.dtype(wordbpe.load(tokenizer_path).dtype).itemsize
     return (

@@ -79,7 +79,7 @@ def packed(docs, **options):
 def test_every_id_lies_in_one_piece(docs, odd_rows, tokenizer):
     rows = [r for r in odd_rows if r[0] is not None and r != odd_rows[5] and r[1] != odd_rows[6][1]]
     rows += [(100 + i, "many words in a row " * (i % 40)) for i in range(120)]
-    found = packed(docs(rows), capacity=64, group_text_bytes=4000)
+    found = packed(docs(rows), capacity=64, group_ids=1000)
     assert set(found.doc_id) == {r[0] for r in rows}
     for doc_id, text in rows:
         want = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
@@ -105,6 +105,14 @@ def test_sequences_are_their_pieces_in_order(docs):
     assert bytes(sequence["token_ids"]) == b"".join(bytes(x) for _, x in pieces)
 
 
+def test_equal_rows_and_empty_texts_are_spread_over_groups(docs):
+    rows = [(1, "the same text")] * 3000 + [(i, None) for i in range(3000)]
+    found = packed(docs(rows), group_pieces=500)
+    groups = (found.sequence_id // (1 << 32)).value_counts()
+    assert len(groups) == 12
+    assert groups.max() < 800
+
+
 def test_odd_rows_and_empty_tables(docs, odd_rows):
     found = packed(docs(odd_rows))
     assert (found.start == 0).sum() == len(odd_rows)
