@@ -181,18 +181,22 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, epochs: int = 30, seed: in
     return Quality(mean, scale, w, b, prior)
 
 
-def _feature_rows(texts: DataFrame) -> np.ndarray:
-    """Features of a bounded number of texts, on the driver."""
+def _feature_rows(texts: DataFrame, limit: int) -> np.ndarray:
+    """Features of at most ``limit`` different ``[key, text]`` rows, in order of the key and
+    a hash of the text, on the driver."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.chunks(batch.column(1)):
+            for part in T.chunks(batch.column(2)):
                 x = features(part)
                 values = pa.array([row.tobytes() for row in x], pa.binary())
-                keys = batch.column(0).slice(part.first, len(part))
-                yield pa.record_batch([keys, values], names=["key", "x"])
+                keys = [batch.column(i).slice(part.first, len(part)) for i in range(2)]
+                yield pa.record_batch([*keys, values], names=["key", "hash", "x"])
 
-    found = texts.mapInArrow(rows, "key long, x binary").toArrow().sort_by("key")
+    hashed = texts.select("key", F.xxhash64("text").alias("hash"), "text")
+    featured = hashed.mapInArrow(rows, "key long, hash long, x binary")
+    kept = featured.dropDuplicates(["key", "hash"]).orderBy("key", "hash").limit(limit)
+    found = kept.toArrow().sort_by([("key", "ascending"), ("hash", "ascending")])
     if not found.num_rows:
         return np.zeros((0, FEATURES), dtype=np.float32)
     return np.stack([np.frombuffer(x.as_py(), dtype=np.float32) for x in found["x"]])
@@ -206,7 +210,8 @@ def train(
     seed: int = 5,
 ) -> Quality:
     """Model of at most ``positives`` trusted texts and ``unlabelled`` others, those with
-    the smallest hash of their id; held-out rows are not among them."""
+    the smallest hash of their id, whose repeated rows count once; held-out rows are not
+    among them."""
     key = sampling_key(F.col("doc_id"), seed)
     open_ids = lambda df: df.where(~held_out(F.col("doc_id"))).select(
         "doc_id", key.alias("key")
@@ -215,9 +220,9 @@ def train(
     drawn = open_ids(docs).distinct().orderBy("key").limit(unlabelled)
     texts = docs.select("doc_id", "text")
     samples = []
-    for ids in (trusted, drawn):
-        chosen = F.broadcast(ids)  # bounded by the two parameters
-        samples.append(_feature_rows(texts.join(chosen, "doc_id").select("key", "text")))
+    for ids, limit in ((trusted, positives), (drawn, unlabelled)):
+        chosen = F.broadcast(ids)  # bounded by the limit
+        samples.append(_feature_rows(texts.join(chosen, "doc_id").select("key", "text"), limit))
     return fit(*samples)
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -74,3 +75,35 @@ def test_odd_rows_and_empty_tables(docs, odd_rows, spark):
     assert found.count() == len(odd_rows)
     assert found.select("row.*").columns == docs(odd_rows).columns
     assert Q.classify(docs([]), labels.limit(0)).count() == 0
+
+
+def test_rows_of_a_repeated_id_are_bounded(docs, spark):
+    """A third of all rows share an id: no more than the limit comes to the driver, and
+    equal rows count once."""
+    rows = [(1, f"text number {i} of the hot id") for i in range(300)] + [(1, "copy")] * 300
+    texts = docs(rows).selectExpr("doc_id as key", "text")
+    assert Q._feature_rows(texts, 50).shape == (50, Q.FEATURES)
+    assert Q._feature_rows(texts, 1000).shape == (301, Q.FEATURES)
+    assert (Q._feature_rows(texts.repartition(5), 50) == Q._feature_rows(texts, 50)).all()
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert Q.train(docs(rows), labels, positives=20, unlabelled=30).weights.shape == (Q.FEATURES,)
+
+
+def test_risk_equals_a_plain_computation():
+    """Steps of the fit lessen the non-negative risk as it is written down."""
+    positive, unlabelled, prior = gauss(400, 1.0, 1), np.vstack([gauss(300, 1.0, 2), gauss(300, -1.0, 3)]), 0.5
+
+    def risk(w, b):
+        loss = lambda z: float(np.mean([math.log1p(math.exp(-v)) for v in z]))
+        zp, zu = positive @ w + b, unlabelled @ w + b
+        return prior * loss(zp) + max(0.0, loss(-zu) - prior * loss(-zp))
+
+    start = risk(np.zeros(5), 0.0)
+    risks = [risk(*Q._descend(positive.astype(float), unlabelled.astype(float), prior, epochs, 3)) for epochs in (1, 5, 30)]
+    assert start > risks[0] > risks[1] >= risks[2] - 1e-3
+    # the first step, of one batch, goes against the risk's slope in every direction
+    slope = [(risk(np.eye(5)[i] * 1e-4, 0.0) - risk(np.eye(5)[i] * -1e-4, 0.0)) / 2e-4 for i in range(5)]
+    few = np.vstack([unlabelled[:200], unlabelled[300:500]])
+    w, _ = Q._descend(positive.astype(float), few.astype(float), prior, 1, 3)
+    assert (np.sign(w) == -np.sign(slope)).all()
+    assert w == pytest.approx(-0.01 * np.sign(slope), rel=1e-4)
