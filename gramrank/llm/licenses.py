@@ -151,10 +151,12 @@ def scanner(accepted: frozenset[str] = PERMISSIVE) -> Callable[[str], Scan]:
         line = f" {b' '.join(words).decode('latin-1')} " if words else ""
         found = Scan(len(words), [], set(), [], set(), None)
         tagged = False
+        passed = counted = 0  # words up to the last match, and where it ends
         for end, phrase in automaton.iter(line):
             if phrase in BASE_PHRASES:
-                start = line.count(" ", 0, end - len(phrase) - 1)
-                found.places.append((start, BASE_PHRASES[phrase]))
+                passed += line.count(" ", counted, end)
+                counted = end
+                found.places.append((passed - len(phrase.split()), BASE_PHRASES[phrase]))
             elif phrase == TAG_WORDS:
                 tagged = True
             else:
