@@ -216,7 +216,8 @@ def format_turns(conversations: DataFrame, key: str, turns: str) -> DataFrame:
 
 def read_turns(formatted: Column) -> Column:
     """The turns of a formatted conversation, roles and texts as they were."""
-    named = r"(?s)^<s>\[ROLE=((?:\\.|[^\\\]])*)\] (.*)$"
+    # possessive: the regex engine would keep a stack frame for each character of a role
+    named = r"(?s)^<s>\[ROLE=((?:\\.|[^\\\]])*+)\] (.*)$"
 
     def turn(part: Column) -> Column:
         user, assistant = F.lit(OPEN + USER), F.lit(OPEN + ASSISTANT)

@@ -120,3 +120,10 @@ def test_a_record_too_long_for_the_reader_is_an_error(spark):
     df = spark.range(1).select("id", record.alias("record"))
     with pytest.raises(Exception, match="MALFORMED_RECORD|JSON|VARIANT"):
         C.canonical_turns(df, "id", "record").select(F.size("turns")).collect()
+
+
+def test_a_very_long_role_comes_back(spark):
+    role = "r]\\" * 40_000
+    df = spark.createDataFrame([(1, [(role, "t"), ("user", "u")])], f"k int, turns {C.TURNS}")
+    read = C.format_turns(df, "k", "turns").select(C.read_turns(F.col("formatted")).alias("turns"))
+    assert [tuple(t) for t in read.first()["turns"]] == [(role, "t"), ("user", "u")]
