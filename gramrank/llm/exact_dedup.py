@@ -1,11 +1,12 @@
 """Exact deduplication as a stream with keyed state.
 
-The state, kept on disk by RocksDB and never expired, holds for each digest the id and
-the content locator of the copy that stays, and the number of copies. Rows reach it
-pre-aggregated, so a text with very many copies is a few rows per batch. Texts never
-enter the state: equal digests are a hit, and the full bytes of all hits of a digest
-are compared at their source. Should two texts share a digest, their groups are
-settled by the texts themselves.
+Arrivals (digest, id, content locator) are taken in batch by batch. The state, kept on disk
+by RocksDB and never expired, holds for each digest the id and the content locator of the
+copy that stays, and the number of copies, so an arrival meets all copies of earlier
+batches. Rows reach it pre-aggregated, so a text with very many copies is a few rows per
+batch. Texts never enter the state: equal digests are a hit, and all hits are fetched by
+their locators and their full bytes compared. Should two texts share a digest, their groups
+are settled by the texts themselves.
 """
 
 from __future__ import annotations
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 
 from gramrank.session import new_shared_path
 
-#: Parquet bytes of the arrival log (digest, id, locator) in one micro-batch.
-BATCH_BYTES = 1 << 30
+#: Micro-batches that the files of the arrival log are dealt to.
+BATCHES = 4
+#: Rows of a list (locators of hits, groups of copies) up to which it is broadcast; some 200
+#: bytes each. A longer one is joined by a shuffle.
+FEW_ROWS = 100_000
 KEY = ("digest", "n_bytes")
 
 STATE_SETTINGS = {
@@ -80,17 +84,20 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def run_stream(spark: SparkSession, log: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """State of the arrivals logged at ``log`` after all of them have been taken in.
+def run_stream(spark: SparkSession, log: str, batches: int = BATCHES) -> DataFrame:
+    """State of the arrivals logged at ``log`` after all of them have been taken in, in
+    ``batches`` batches (fewer if the log has fewer files).
 
     Every batch writes the entries it changed to a folder named after it, so a batch
     that is run again after a failure replaces what it wrote before."""
     session = _stream_session(spark)
-    schema = session.read.parquet(log).schema
+    logged = session.read.parquet(log)
+    schema = logged.schema
+    files = -(-len(logged.inputFiles()) // batches) or 1
     changes = new_shared_path(spark, "dedup-changes")
     empty = session.createDataFrame([], schema)
     keep_latest(empty).write.parquet(f"{changes}/batch=-1")
-    stream = session.readStream.schema(schema).option("maxBytesPerTrigger", batch_bytes)
+    stream = session.readStream.schema(schema).option("maxFilesPerTrigger", files)
     query = (
         keep_latest(stream.parquet(log))
         .writeStream.outputMode("update")
@@ -110,11 +117,18 @@ def run_stream(spark: SparkSession, log: str, batch_bytes: int = BATCH_BYTES) ->
     return spark.read.parquet(path)
 
 
-def clashes(arrived: DataFrame) -> DataFrame:
-    """Keys under which different texts meet. All bytes of all hits are compared: the
-    texts of a key are equal if its smallest is its largest."""
+def _sized(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= FEW_ROWS else rows
+
+
+def clashes(arrived: DataFrame, hits: DataFrame, n_hits: int) -> DataFrame:
+    """Keys under which different texts meet. ``hits`` (``[*KEY, locator]``) are fetched by
+    their locators, and all their bytes are compared: the texts of a key are equal if its
+    smallest is its largest."""
+    texts = arrived.select(F.col("arrival.locator").alias("locator"), "text")
     return (
-        arrived.groupBy(*KEY)
+        texts.join(_sized(hits, n_hits), "locator")
+        .groupBy(*KEY)
         .agg(F.min("text").alias("low"), F.max("text").alias("high"))
         .where("low <> high")
         .select(*KEY)
@@ -125,7 +139,7 @@ def deduplicate(
     docs: DataFrame,
     locator: Column,
     digest: Callable[[Column], Column] = sha256,
-    batch_bytes: int = BATCH_BYTES,
+    batches: int = BATCHES,
 ) -> DataFrame:
     """``[row, digest, n_bytes, keep_id, group_size, kept]``, a row for each of ``docs``.
 
@@ -139,26 +153,34 @@ def deduplicate(
     arrived = arrivals(docs, locator, digest)
     log = new_shared_path(spark, "dedup-arrivals")
     arrived.select(*KEY, "arrival").write.parquet(log)
-    groups = run_stream(spark, log, batch_bytes)
+    several = run_stream(spark, log, batches).where("group_size > 1")
+    n_several, n_hits = several.agg(F.count(F.lit(1)), F.sum("group_size")).first()
+    rows = arrived.select("row", *KEY, "arrival")
+    if not n_several:
+        return _settled(rows, several, n_several, KEY)
+    logged = spark.read.parquet(log).select(*KEY, "arrival.locator")
+    hits = logged.join(_sized(several.select(*KEY), n_several), [*KEY], "left_semi")
     path = new_shared_path(spark, "dedup-clashes")
-    clashes(arrived).write.parquet(path)
+    clashes(arrived, hits, n_hits).write.parquet(path)
     clashing = spark.read.parquet(path)
-    rows = arrived.select("row", *KEY, "arrival")
     if clashing.isEmpty():
-        return _settled(rows, groups, KEY)
+        return _settled(rows, several, n_several, KEY)
     by_text = arrived.join(clashing, [*KEY], "left_semi")
     texts = by_text.groupBy(*KEY, "text").agg(
         F.max("arrival").alias("kept"), F.count(F.lit(1)).alias("group_size")
     )
-    clean = _settled(rows.join(clashing, [*KEY], "left_anti"), groups, KEY)
-    return clean.unionByName(
-        _settled(by_text.select("row", *KEY, "arrival", "text"), texts, (*KEY, "text"))
-    )
+    told_apart = by_text.select("row", *KEY, "arrival", "text")
+    clean = _settled(rows.join(clashing, [*KEY], "left_anti"), several, n_several, KEY)
+    return clean.unionByName(_settled(told_apart, texts, n_hits, (*KEY, "text")))
 
 
-def _settled(rows: DataFrame, groups: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Only groups of two or more are looked up; any other row stays by itself."""
+def _settled(
+    rows: DataFrame, groups: DataFrame, n_groups: int, key: tuple[str, ...]
+) -> DataFrame:
+    """Only groups of two or more are looked up; any other row stays by itself. There are
+    at most ``n_groups``; groups keyed by texts are never broadcast."""
     several = groups.where("group_size > 1")
+    several = several if "text" in key else _sized(several, n_groups)
     found = rows.join(several, [*key], "left")
     alone = F.col("kept").isNull()
     return found.select(

@@ -13,15 +13,48 @@ def result(frame, **options):
 ROWS = [(i, f"text {i % 7}") for i in range(60)] + [(100, "alone"), (101, ""), (102, None)]
 
 
-@pytest.mark.parametrize("batch_bytes", [1, 1 << 30])
-def test_copies_by_one_batch_or_many(docs, batch_bytes):
-    """With a byte to a batch every file of the log is one, and state carries over."""
-    found = result(docs(ROWS, files=6), batch_bytes=batch_bytes)
+@pytest.mark.parametrize("few", [0, 100_000])
+@pytest.mark.parametrize("batches", [1, 100])
+def test_copies_by_one_batch_or_many(docs, monkeypatch, batches, few):
+    """With as many batches as files state carries over; lists too long to be broadcast
+    change nothing."""
+    monkeypatch.setattr(D, "FEW_ROWS", few)
+    found = result(docs(ROWS, files=6), batches=batches)
     want = llm_plain.copies(ROWS)
     assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in found} == want
     assert {r["doc_id"] for r in found if r["kept"]} == {keep for keep, _ in want.values()}
 
 
+def test_a_hit_meets_the_state_of_an_earlier_batch(spark, monkeypatch, tmp_path):
+    """Each batch of the log has one arrival; the second finds the first in the state."""
+    paths = {}
+    plain_path = D.new_shared_path
+    monkeypatch.setattr(
+        D, "new_shared_path", lambda s, label: paths.setdefault(label, plain_path(s, label))
+    )
+    log = str(tmp_path / "log")
+    for doc_id in (7, 3):
+        row = spark.createDataFrame([(doc_id, f"f{doc_id}")], "doc_id long, file string")
+        row.selectExpr(
+            "unhex('aa') as digest", "4 as n_bytes", "struct(doc_id, struct(file, 0L as row) as locator) as arrival"
+        ).coalesce(1).write.mode("append").parquet(log)
+    state = D.run_stream(spark, log, batches=2).collect()
+    assert [(r["kept"]["doc_id"], r["kept"]["locator"]["file"], r["group_size"]) for r in state] == [(7, "f7", 2)]
+    changes = spark.read.parquet(paths["dedup-changes"]).where("batch >= 0")
+    assert sorted((r["batch"], r["group_size"]) for r in changes.collect()) == [(0, 1), (1, 2)]
+
+
+def test_only_hits_are_fetched(docs, monkeypatch):
+    """By their locators: of the texts, only copies of others are compared."""
+    fetched = []
+    plain_clashes = D.clashes
+    monkeypatch.setattr(D, "clashes", lambda arrived, hits, n: fetched.append((hits.count(), n)) or plain_clashes(arrived, hits, n))
+    rows = [(i, f"text {i}") for i in range(50)] + [(60, "text 3"), (61, "text 3"), (62, "text 9")]
+    found = result(docs(rows, files=3))
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in found} == llm_plain.copies(rows)
+    assert fetched == [(5, 5)]
+
+
 def test_texts_that_share_a_digest_are_told_apart(docs):
     first_byte = lambda text: F.substring(F.unhex(F.sha2(F.substring(text, 1, 1), 256)), 1, 1)
     rows = [(i, f"t{i % 3}") for i in range(12)] + [(20, "t"), (21, "other")]
