@@ -3,255 +3,36 @@
 The model is over code points, one a language, and grows with the corpus
 (``language_model.py``). Documents whose perplexity lies outside a band of their language
 are rejected; the bands come from the quartiles of all documents that pass the plain rules.
-
-The model of 32 character classes below (``count_grams`` to ``load_models``) is of fixed
-size. No query uses it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.llm import language_model as L
 from gramrank.llm import textarrays as T
 from gramrank.session import new_shared_path
 
-ORDER = 4
-BITS = 5
-CLASSES = 1 << BITS
-GRAMS = 1 << (ORDER * BITS)
-#: Languages share this many models; bands are per language in any case.
-SLOTS = 16
-
-# Class of a byte: 1-26 letters, 27 white space, 28 digits, 29 other letters (one for a
-# character of two or more bytes), 30 sentence marks, 31 other marks; 0 is the edge of a
-# text. Continuation bytes have no class.
-_SKIP = 255
-_CLASS = np.full(256, 31, dtype=np.uint8)
-for _b in range(256):
-    _char = chr(_b)
-    if _char.isascii() and _char.isalpha():
-        _CLASS[_b] = ord(_char.lower()) - 96
-    elif _b in b" \t\n\v\f\r":
-        _CLASS[_b] = 27
-    elif _char.isascii() and _char.isdigit():
-        _CLASS[_b] = 28
-    elif _char in ".,;:!?'\"()-":
-        _CLASS[_b] = 30
-    elif _b >= 0xC0:
-        _CLASS[_b] = 29
-    elif _b >= 0x80:
-        _CLASS[_b] = _SKIP
+#: Languages up to which their bands are broadcast, so that a language of very many
+#: documents is not one task. With more, none of which can have all documents, they are
+#: joined by a shuffle.
+FEW_LANGUAGES = 10_000
 
 IS_SYMBOL = np.zeros(256, dtype=bool)
 IS_SYMBOL[list(b"#*$%&|<>")] = True
 IS_LEAD = np.array([b & 0xC0 != 0x80 for b in range(256)])
 
-MODEL = "slot int, key long, log_p float, log_rest float"
 STATS = (
     "doc_id {id}, lang string, n_words long, word_chars long, n_symbols long,"
     " n_dup_lines long, n_repeat_words long, n_grams long, log_p double"
 )
 
 
-# Counting
-
-
-def gram_codes(texts: T.Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all n-grams of the texts, in order, and their bounds by text. A text of
-    n characters has n + 1: the edge stands three times before it and once after it."""
-    classes = _CLASS[texts.data]
-    real = classes != _SKIP
-    sizes = texts.sums(real)
-    bounds = np.concatenate(([0], np.cumsum(sizes + ORDER)))
-    padded = np.zeros(bounds[-1], dtype=np.int32)
-    padded[np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)), sizes) * ORDER + 3] = (
-        classes[real]
-    )
-    codes = padded.copy()
-    for back in range(1, ORDER):
-        codes[back:] |= padded[:-back] << (BITS * back)
-    inside = np.ones(len(codes), dtype=bool)
-    for edge in range(ORDER - 1):
-        inside[bounds[:-1] + edge] = False
-    return codes[inside], np.concatenate(([0], np.cumsum(sizes + 1)))
-
-
-def slot_of(lang: Column) -> Column:
-    return F.pmod(F.xxhash64(F.coalesce(lang, F.lit(""))), F.lit(SLOTS)).cast("int")
-
-
-def count_grams(docs: DataFrame) -> DataFrame:
-    """``[slot, code, n]`` over all texts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            slots = batch.column(0).to_numpy(zero_copy_only=False)
-            for texts in T.chunks(batch.column(1), 4 << 20):
-                codes, bounds = gram_codes(texts)
-                of_text = slots[texts.first : texts.first + len(texts)]
-                for slot in np.unique(of_text):
-                    mine = codes
-                    if (of_text != slot).any():
-                        mine = codes[np.repeat(of_text == slot, np.diff(bounds))]
-                    if slot not in totals:
-                        totals[slot] = np.zeros(GRAMS, dtype=np.int64)
-                    totals[slot] += np.bincount(mine, minlength=GRAMS)
-        for slot, total in totals.items():
-            seen = np.flatnonzero(total)
-            yield pa.record_batch(
-                [
-                    pa.array(np.full(len(seen), slot, dtype=np.int32)),
-                    pa.array(seen.astype(np.int32)),
-                    pa.array(total[seen]),
-                ],
-                names=["slot", "code", "n"],
-            )
-
-    partial = docs.select(slot_of(F.col("lang")).alias("slot"), "text").mapInArrow(
-        count, "slot int, code int, n long"
-    )
-    return partial.groupBy("slot", "code").agg(F.sum("n").alias("n"))
-
-
-# Fitting
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """What is taken off counts of 0, 1, 2 and 3 or more, by Chen and Goodman."""
-    n1, n2, n3, n4 = (float((counts == k).sum()) for k in range(1, 5))
-    if not (n1 and n2 and n3):
-        return np.array([0.0, 0.5, 0.5, 0.5])
-    y = n1 / (n1 + 2 * n2)
-    found = [0.0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
-    return np.clip(found, [0, 0.05, 0.05, 0.05], [0, 0.95, 1.95, 2.95])
-
-
-def _smooth(counts: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities of the last class given the ones before it, and the weight each
-    context leaves to the lower order. ``lower`` lacks the first class of the context."""
-    off = _discounts(counts)[np.minimum(counts, 3)]
-    total = counts.sum(axis=-1, keepdims=True)
-    seen = total > 0
-    rest = np.where(seen, off.sum(axis=-1, keepdims=True) / np.maximum(total, 1), 1.0)
-    own = np.where(seen, (counts - off) / np.maximum(total, 1), 0.0)
-    return own + rest * lower, rest[..., 0]
-
-
-def fit(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Modified Kneser-Ney model of n-gram counts as arrays sorted by n-gram hash: hash,
-    log probability of an n-gram, and log weight it leaves as a context (0 if none).
-
-    Lower orders count the different classes seen before an n-gram."""
-    full = np.zeros(GRAMS, dtype=np.int64)
-    full[codes] = n
-    by_order = [full.reshape((CLASSES,) * ORDER)]
-    while by_order[0].ndim > 1:
-        by_order.insert(0, (by_order[0] > 0).sum(axis=0))
-    p = np.full((), 1.0 / CLASSES)
-    probabilities, rests = [], []
-    for counts in by_order:
-        p, rest = _smooth(counts, np.broadcast_to(p, counts.shape))
-        probabilities.append(p)
-        rests.append(rest)
-    # order 0 is the empty context, which leaves its weight to a uniform choice
-    keys = [key_of(0, np.zeros(1, dtype=np.int64))]
-    log_p = [np.array([-np.log(CLASSES)])]
-    log_rest = [np.log(np.maximum(rests[0].reshape(-1), 1e-30))]
-    for order in range(1, ORDER + 1):
-        seen = np.flatnonzero(by_order[order - 1].reshape(-1))
-        keys.append(key_of(order, seen))
-        log_p.append(np.log(probabilities[order - 1].reshape(-1)[seen]))
-        leaves = rests[order].reshape(-1)[seen] if order < ORDER else np.ones(len(seen))
-        log_rest.append(np.log(np.maximum(leaves, 1e-30)))
-    key = np.concatenate(keys)
-    place = np.argsort(key)
-    return (
-        key[place],
-        np.concatenate(log_p)[place].astype(np.float32),
-        np.concatenate(log_rest)[place].astype(np.float32),
-    )
-
-
-def key_of(order: int, code: np.ndarray) -> np.ndarray:
-    return T.mix(code.astype(np.uint64) | np.uint64(order << 40)).view(np.int64)
-
-
-def fit_models(counts: DataFrame) -> DataFrame:
-    """``[slot, key, log_p, log_rest]``: a group has at most 32^4 rows."""
-
-    def one(table: pa.Table) -> pa.Table:
-        key, log_p, log_rest = fit(table["code"].to_numpy(), table["n"].to_numpy())
-        slot = np.full(len(key), table["slot"][0].as_py(), dtype=np.int32)
-        return pa.table({"slot": slot, "key": key, "log_p": log_p, "log_rest": log_rest})
-
-    return counts.groupBy("slot").applyInArrow(one, MODEL)
-
-
-# Scoring
-
-
-@dataclass
-class Model:
-    """Sorted arrays of one slot, and the log probabilities looked up so far."""
-
-    key: np.ndarray
-    log_p: np.ndarray
-    log_rest: np.ndarray
-    known: np.ndarray | None = None
-
-    def _find(self, order: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = key_of(order, code)
-        place = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return place, self.key[place] == key
-
-    def look_up(self, code: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Log probabilities of n-grams; an unseen one backs off to the next order."""
-        if order == 0:
-            return np.full(len(code), -np.log(CLASSES))
-        place, found = self._find(order, code)
-        out = np.where(found, self.log_p[place], 0.0).astype(np.float64)
-        lost = np.flatnonzero(~found)
-        if len(lost):
-            short = code[lost] & ((1 << (BITS * (order - 1))) - 1)
-            out[lost] = self.look_up(short, order - 1)
-            place, found = self._find(order - 1, code[lost] >> BITS)
-            out[lost] += np.where(found, self.log_rest[place], 0.0)
-        return out
-
-    def log_probabilities(self, codes: np.ndarray) -> np.ndarray:
-        if self.known is None:
-            self.known = np.full(GRAMS, np.nan, dtype=np.float32)
-        found = self.known[codes]
-        if np.isnan(found).any():
-            new = np.unique(codes[np.isnan(found)])
-            self.known[new] = self.look_up(new)
-            found = self.known[codes]
-        return found
-
-
-def load_models(fitted: DataFrame) -> dict[int, Model]:
-    """The models by slot, on the driver: at most 16 slots of some 32^4 n-grams."""
-    table = fitted.toArrow()
-    slot = table["slot"].to_numpy()
-    found = {}
-    for one in np.unique(slot):
-        mine = table.filter(pa.array(slot == one))
-        key = mine["key"].to_numpy()
-        place = np.argsort(key)
-        found[int(one)] = Model(
-            key[place], mine["log_p"].to_numpy()[place], mine["log_rest"].to_numpy()[place]
-        )
-    return found
-
-
 def repeat_words(hashes: np.ndarray, k: int = 3) -> int:
     """Words within windows of ``k`` words that are found twice or more."""
     if len(hashes) <= k:
@@ -329,27 +110,36 @@ def score_part(batch: pa.RecordBatch, known: L.Answered) -> Iterator[pa.RecordBa
         )
 
 
-def with_bands(scored: DataFrame, width: float) -> DataFrame:
-    """Verdicts: the band of a language is ``width`` quartile ranges beyond the quartiles
-    of log perplexity, taken over its documents that pass the plain rules."""
-    judged = scored.withColumns(
+def judged_plainly(scored: DataFrame) -> DataFrame:
+    return scored.withColumns(
         {
             "log_perplexity": -F.col("log_p") / F.col("n_grams"),
             "base_failed": (F.col("n_words") < 50)
             | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         }
     )
+
+
+def bands_of(judged: DataFrame, width: float) -> DataFrame:
+    """``[lang, low, high]``: ``width`` quartile ranges beyond the quartiles of log
+    perplexity, taken over the documents of a language that pass the plain rules."""
     quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
-    bands = (
+    spread = F.col("q")[1] - F.col("q")[0]
+    return (
         judged.where(~F.col("base_failed"))
         .groupBy("lang")
         .agg(quartiles.alias("q"))
         .select(
             "lang",
-            (F.col("q")[0] - width * (F.col("q")[1] - F.col("q")[0])).alias("low"),
-            (F.col("q")[1] + width * (F.col("q")[1] - F.col("q")[0])).alias("high"),
+            (F.col("q")[0] - width * spread).alias("low"),
+            (F.col("q")[1] + width * spread).alias("high"),
         )
     )
+
+
+def with_verdicts(judged: DataFrame, bands: DataFrame) -> DataFrame:
+    if bands.count() <= FEW_LANGUAGES:
+        bands = F.broadcast(bands)
     inside = F.col("log_perplexity").between(F.col("low"), F.col("high"))
     return judged.join(bands, "lang", "left").select(
         "doc_id",
@@ -396,4 +186,5 @@ def judge_quality(docs: DataFrame, width: float = 3.0) -> DataFrame:
     scored = score_documents(blocks, L.answers(blocks, model), id_type)
     scored = kept(scored, "ngram-scores")
     spark.sql(f"drop table {name}")  # its files stay
-    return with_bands(scored, width)
+    judged = judged_plainly(scored)
+    return with_verdicts(judged, kept(bands_of(judged, width), "ngram-bands"))
