@@ -117,8 +117,7 @@ def _in_rows(articles: DataFrame) -> DataFrame:
     order, the distinct words of each, and the words of the document with their TF-IDF
     values.
 
-    Texts and weights meet by id where they lie (in sessions of ``build_session``, which
-    allow it; else texts are shuffled once more). They are many times larger than the files
+    Texts and weights meet by id where they lie. They are many times larger than the files
     they come from, so their size is not to be judged by that: the merge hint rules out
     that either is broadcast. One-row explodes keep what was split as columns; it would
     else be split again for each use."""

@@ -18,8 +18,9 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Two sides that lie by document are joined by document and word in place.
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+        # Of two shuffled sides, one with small partitions is hashed, so that the other,
+        # larger one need not be sorted. Sizes are those measured while the query runs.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
