@@ -1,14 +1,15 @@
 """Exact join of word-shingle sets by Jaccard similarity, with set relations skipped.
 
 Every set lists its rarest shingles, the prefix in which two similar sets must meet.
-Lists of the sets that hold a shingle are never paired up whole:
+Of the pairs in the list of a shingle most are not compared:
 
 * a position in a list tells how many rarer shingles a set has, all of which differ
   from its partner's where the two meet first; entries whose positions add up to more
   than the difference allowed are skipped;
 * a set is first compared only with the leader of its list. The sets similar to the
   same leader are in the same class, and pairs within a class are never looked at;
-* what is left are pairs of sets of different classes. Bitmaps of the sets, a small one
+* what is left are pairs of sets of different classes, made list by list (lists are not cut
+  into blocks that could be skipped unseen). Bitmaps of the sets, a small one
   in the lists and one that grows with the set for the pairs, bound their difference from
   below, and only pairs within the bounds are compared in full.
 
