@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gramrank.functions.text import letter_bucket, raw_words, strip_mark
+from gramrank.functions.text import cleaned_text, letter_bucket, raw_words, strip_mark
+
+#: Bytes of text a task splits at a time; a longer text is split by itself.
+SPLIT_BYTES = 1 << 21
 
 
 def explode_words(
@@ -37,6 +45,59 @@ def term_counts(articles: DataFrame) -> DataFrame:
     )
 
 
+def in_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Runs of the batch's rows with some ``SPLIT_BYTES`` bytes in column ``text``."""
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    low = 0
+    while low < batch.num_rows:
+        before = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + SPLIT_BYTES, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def text_counts(articles: DataFrame) -> DataFrame:
+    """``[doc_id, words, ns]``: the distinct words of each row's body and how often each
+    stands there, as two arrays, a most frequent word first. A row without words is left
+    out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_slices(batch, 1):
+                yield _count_rows(part)
+
+    texts = articles.select("doc_id", cleaned_text(F.col("body")).alias("text"))
+    id_type = texts.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(count, f"doc_id {id_type}, words array<string>, ns array<bigint>")
+
+
+def _count_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    split = pc.ascii_split_whitespace(batch.column(1))
+    sizes = split.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    tokens = split.flatten().dictionary_encode()
+    # a row and a word in one whole number
+    span = len(tokens.dictionary) + 1
+    keys = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) * span
+    keys += tokens.indices.to_numpy(zero_copy_only=False)
+    empty = pc.index(tokens.dictionary, "").as_py()
+    keys, ns = np.unique(keys[keys % span != empty], return_counts=True)
+    row, word = np.divmod(keys, span)
+    order = np.lexsort((-ns, row))
+    word, ns = word[order], ns[order]
+    rows, sizes = np.unique(row, return_counts=True)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    words = tokens.dictionary.take(pa.array(word))
+    return pa.record_batch(
+        [
+            batch.column(0).take(pa.array(rows)),
+            pa.ListArray.from_arrays(offsets, words),
+            pa.ListArray.from_arrays(offsets, pa.array(ns, pa.int64())),
+        ],
+        names=["doc_id", "words", "ns"],
+    )
+
+
 def corpus_counts(articles: DataFrame) -> DataFrame:
     """``[word, n]`` over all bodies, words without letters and digits left out."""
     return word_count(articles, "body", keep_empty=False)

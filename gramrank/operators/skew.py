@@ -60,8 +60,10 @@ def spread_join(
 ) -> DataFrame:
     """Inner join of ``left`` with ``right``, unique by ``key``, whose column
     ``rows`` is the number of left rows of the key. Both sides are placed by key and
-    piece; ``right`` lies by key alone, which must not decide where ``left`` goes."""
+    piece; ``right`` lies by key alone, which must not decide where ``left`` goes. A
+    partition of ``right``, a row a key and piece, is hashed, so ``left`` is not sorted."""
     hot = hot_keys(right, key, rows, piece_rows)
     keys = [key, "_salt"]
     salted = add_salt(left, hot, key, spread_by).repartition(*keys)
-    return salted.join(repeat_per_salt(right, hot, key).repartition(*keys), keys).drop("_salt")
+    placed = repeat_per_salt(right, hot, key).repartition(*keys)
+    return salted.join(placed.hint("shuffle_hash"), keys).drop("_salt")

@@ -4,12 +4,15 @@
 ``df`` the number of documents that have the word and ``N`` the number of
 documents that have any word.
 
-Figures of words and of documents are aggregated first (partial sums before the shuffle)
-and joined back, very frequent words and documents with very many terms in pieces.
-
-Counts are used in several places of one plan. The conditions ``> 0`` below hold
-for every row; they make each use need the same columns, so that Spark finds the
-shuffles equal and texts are read, split and counted once.
+Words are counted within the rows of texts. What only one row has an id for is a whole
+document: its counts and their highest are at hand, and its terms cross the network once, to
+their word. Rows that share an id are added up by id and word; of those, figures of
+documents are aggregated first and joined back, documents with very many terms in pieces.
+Very frequent words are joined in pieces too.
+
+Counts are used in several places of one plan. Conditions that hold for every row make each
+use need the same columns, so that Spark finds the shuffles equal and texts are read, split
+and counted once.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gramrank.operators.counts import term_counts
+from gramrank.operators.counts import text_counts
 from gramrank.operators.skew import PIECE_ROWS, spread_join
 
 
@@ -58,17 +61,64 @@ def term_frequency(counts: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame
     return found.select("doc_id", "word", "n", "max_n", _tf().alias("tf"))
 
 
-def with_frequency(counts: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """``[word, doc_id, n, df]``."""
+def _terms(rows: DataFrame, *more: Column) -> DataFrame:
+    """``[doc_id, word, n]`` and ``more`` columns of rows of counted texts."""
+    pairs = F.arrays_zip(F.col("words").alias("word"), F.col("ns").alias("n"))
+    return rows.select("doc_id", *more, F.inline(pairs).alias("word", "n")).where("n > 0")
+
+
+def _added_up(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
+
+
+def _by_rows_of_id(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``[doc_id, words, ns]``, a row a text: those whose id no other row has, and those
+    that share one. Both come of one shuffle."""
+    known = articles.where(F.col("doc_id").isNotNull())
+    shared = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    shared = shared.select("doc_id").hint("shuffle_hash")
+    # the condition that one of the joins would add by itself, on both
+    rows = text_counts(known).where(F.col("doc_id").isNotNull())
+    return rows.join(shared, "doc_id", "left_anti"), rows.join(shared, "doc_id", "left_semi")
+
+
+def _total(single: DataFrame, counts: DataFrame) -> Column:
+    """Number of documents: rows by themselves, and ids among the counts of others."""
+    alone = single.agg(F.count_if(F.size("words") == F.size("ns")).alias("n_docs"))
+    return alone.scalar() + document_total(counts).scalar()
+
+
+def _counted(articles: DataFrame, piece_rows: int) -> tuple[DataFrame, DataFrame, Column]:
+    """``[doc_id, word, n, max_n]`` of all articles with an id, ``[doc_id, word, n]`` of the
+    same, and the number of documents."""
+    single, several = _by_rows_of_id(articles)
+    # dealt by word too, so that the terms of a hot id are not brought together
+    counts = _added_up(_terms(several).repartition("doc_id", "word"))
+    merged = _with_highest(counts.where("n > 0"), counts, piece_rows)
+    whole = _terms(single, F.get("ns", F.lit(0)).alias("max_n"))
+    terms = whole.unionByName(merged.select("doc_id", "max_n", "word", "n"))
+    return terms, _terms(single).unionByName(counts), _total(single, counts)
+
+
+def article_term_frequency(articles: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """``[doc_id, word, n, max_n, tf]`` of articles with an id, as ``term_frequency`` has it
+    of their counts."""
+    terms, _, _ = _counted(articles, piece_rows)
+    return terms.select("doc_id", "word", "n", "max_n", _tf().alias("tf"))
+
+
+def with_frequency(
+    terms: DataFrame, counts: DataFrame, piece_rows: int = PIECE_ROWS
+) -> DataFrame:
+    """``terms`` with ``df``, found in ``counts``."""
     frequency = document_frequency(counts)
-    return spread_join(counts.where("n > 0"), frequency, "word", "df", ["doc_id"], piece_rows)
+    return spread_join(terms, frequency, "word", "df", ["doc_id"], piece_rows)
 
 
 def tf_idf(articles: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """``[doc_id, word, tf, df, tfidf]`` of articles with an id."""
-    counts = term_counts(articles.where(F.col("doc_id").isNotNull()))
-    n_docs = document_total(counts).scalar()
-    found = _with_highest(with_frequency(counts, piece_rows), counts, piece_rows)
+    terms, counts, n_docs = _counted(articles, piece_rows)
+    found = with_frequency(terms, counts, piece_rows)
     return found.select(
         "doc_id",
         "word",
@@ -82,12 +132,13 @@ def document_weights(articles: DataFrame) -> DataFrame:
     """``[doc_id, words, weights]``: the words of each document and their TF-IDF values, as
     two arrays in one row, placed by id. Ids are unique here, so a document has at most the
     vocabulary of one text."""
-    counts = term_counts(articles.where(F.col("doc_id").isNotNull()))
-    n_docs = document_total(counts).scalar()
+    single, several = _by_rows_of_id(articles)
+    added = _added_up(_terms(several))
+    counts = _terms(single).unionByName(added)
     # the highest count comes out of the grouping: as an expression over the array it would
     # be worked out again for each element
     terms = (
-        with_frequency(counts)
+        with_frequency(counts, counts)
         .repartition("doc_id")
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("word", "n", "df")).alias("terms"), F.max("n").alias("max_n"))
@@ -97,7 +148,7 @@ def document_weights(articles: DataFrame) -> DataFrame:
         tf = F.lit(0.5) + F.lit(0.5) * (term["n"] / F.col("max_n"))
         return tf * F.log10(F.col("n_docs") / term["df"])
 
-    return terms.withColumn("n_docs", n_docs).select(
+    return terms.withColumn("n_docs", _total(single, added)).select(
         "doc_id",
         F.col("terms.word").alias("words"),
         F.transform("terms", weight).alias("weights"),

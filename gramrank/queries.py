@@ -104,7 +104,7 @@ def line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def term_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(T.term_frequency(doc_term_counts(spark, sf_dir)), tf=9)
+    return rounded(T.article_term_frequency(tables.articles(spark, sf_dir)), tf=9)
 
 
 def document_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from gramrank.operators import skew, topk
-from gramrank.operators.counts import term_counts
+from gramrank.operators import counts, skew, topk
+from gramrank.operators.counts import term_counts, text_counts
 from gramrank.plans import summary as S
 from gramrank.plans import tfidf as T
 from gramrank.sources.text import first_per_id
@@ -248,3 +248,41 @@ def test_a_document_of_very_many_terms_is_cut(spark):
     spread = skew.add_salt(counts.where("n > 0"), hot, "doc_id", ["word"]).where("doc_id = 'hot'")
     sizes = [r["count"] for r in spread.groupBy("_salt").count().collect()]
     assert len(sizes) == 10 and max(sizes) < 200
+
+
+def test_terms_of_a_document_in_one_row_are_not_moved_to_it(spark):
+    """The counts and their highest are found in the row; rows sharing an id are added up."""
+    rows = [("1", "b a a. A"), ("2", "x y"), ("2", "y Y z"), ("3", " \t--"), ("4", None), (None, "a")]
+    df = spark.createDataFrame(rows, "doc_id string, body string")
+    counted = {r["doc_id"]: list(zip(r["words"], r["ns"])) for r in text_counts(df.where("doc_id != '2'")).collect()}
+    assert counted == {"1": [("a", 3), ("b", 1)]}
+    found = {tuple(r)[:4] for r in T.article_term_frequency(df).collect()}
+    assert found == {("1", "a", 3, 3), ("1", "b", 1, 3), ("2", "y", 3, 3), ("2", "x", 1, 3), ("2", "z", 1, 3)}
+    by_counts = T.term_frequency(term_counts(df))
+    assert sorted(by_counts.collect()) == sorted(T.article_term_frequency(df).select(by_counts.columns).collect())
+
+
+def test_term_frequency_reads_texts_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(body):
+        reads.add(1)
+        return body
+
+    df = spark.createDataFrame(ARTICLES + ARTICLES[:1], "doc_id string, body string")
+    T.article_term_frequency(df.withColumn("body", noted("body"))).collect()
+    assert reads.value == len(ARTICLES) + 1
+
+
+def test_texts_are_split_in_slices(monkeypatch):
+    """A text of any length whole, several as long as they are short."""
+    monkeypatch.setattr(counts, "SPLIT_BYTES", 10)
+    texts = ["aa bb", None, "", "a" * 50, "b b", "c", "dd ee ff gg"]
+    batch = pa.record_batch([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    slices = list(counts.in_slices(batch, 1))
+    assert [part.num_rows for part in slices] == [3, 1, 2, 1]
+    assert pa.Table.from_batches(slices).to_pydict() == batch.to_pydict()
+    whole = [row for part in slices for row in counts._count_rows(part).to_pylist()]
+    assert [row["doc_id"] for row in whole] == [0, 3, 4, 5, 6]
+    assert whole[2] == {"doc_id": 4, "words": ["b"], "ns": [2]}
