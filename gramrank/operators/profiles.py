@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.functions.text import STRIPPED, TOKEN_GAP, cleaned_text
-from gramrank.operators.counts import corpus_counts, term_counts
+from gramrank.operators.counts import corpus_counts, in_slices, term_counts
 
 
 def first_per_task(texts: DataFrame, n: int) -> DataFrame:
@@ -18,18 +18,20 @@ def first_per_task(texts: DataFrame, n: int) -> DataFrame:
     with ``keep_empty``) the first ``n`` distinct ones in byte order.
 
     A task holds a sorted set of at most ``n`` words. Once it is full, words behind its
-    last one are sorted out by a comparison."""
+    last one are sorted out by a comparison. Texts are split in slices, so that the words
+    held at a time are bounded whatever comes in a batch."""
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = pa.array([], pa.string())
         for batch in batches:
-            tokens = pc.split_pattern_regex(batch.column(0).drop_null(), TOKEN_GAP).flatten()
-            words = pc.unique(tokens)
-            words = words.filter(pc.not_equal(words, ""))
-            words = pc.replace_substring(words, STRIPPED, "")
-            if len(held) == n:
-                words = words.filter(pc.less(words, held[-1]))
-            held = pc.unique(pa.concat_arrays([held, words])).sort()[:n]
+            for part in in_slices(batch, 0):
+                tokens = pc.split_pattern_regex(part.column(0).drop_null(), TOKEN_GAP).flatten()
+                words = pc.unique(tokens)
+                words = words.filter(pc.not_equal(words, ""))
+                words = pc.replace_substring(words, STRIPPED, "")
+                if len(held) == n:
+                    words = words.filter(pc.less(words, held[-1]))
+                held = pc.unique(pa.concat_arrays([held, words])).sort()[:n]
         yield pa.record_batch([held], names=["word"])
 
     if n <= 0:

@@ -2,6 +2,7 @@ import random
 import re
 
 import plain
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -178,3 +179,22 @@ def test_a_task_hands_on_at_most_n_words(spark):
         spark.createDataFrame([("1", "a b")], "doc_id string, body string")
     )._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("MapInArrow")
+
+
+def test_first_words_hold_a_slice_at_a_time(spark, monkeypatch):
+    """However many texts a batch brings, words are split a slice at a time."""
+    batch = pa.record_batch([pa.array(["b a"] * 50 + ["c" * 5000] + ["a d"] * 50)], names=["text"])
+    monkeypatch.setattr(counts, "SPLIT_BYTES", 60)
+    seen = []
+    split = profiles.pc.split_pattern_regex
+    monkeypatch.setattr(
+        profiles.pc, "split_pattern_regex", lambda column, gap: seen.append(len(column)) or split(column, gap)
+    )
+
+    class Texts:
+        def mapInArrow(self, first, schema):
+            return list(first([batch]))
+
+    found = profiles.first_per_task(Texts(), 3)
+    assert found[0].column(0).to_pylist() == ["a", "b", "c" * 5000]
+    assert len(seen) > 3 and max(seen) <= 20
