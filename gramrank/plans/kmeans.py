@@ -100,7 +100,8 @@ def _move_all(points: DataFrame, runs: list[Centroids]) -> tuple[list[Centroids]
         )
 
     rows = (
-        points.mapInArrow(sums, "run int, place int, n double, x double, y double, sse double")
+        points.select("x", "y")
+        .mapInArrow(sums, "run int, place int, n double, x double, y double, sse double")
         .groupBy("run", "place")
         .agg(*[F.sum(name).alias(name) for name in ("n", "x", "y", "sse")])
         .where("n > 0")
@@ -115,13 +116,18 @@ def _move_all(points: DataFrame, runs: list[Centroids]) -> tuple[list[Centroids]
     return moved, sse
 
 
-def _cached(points: DataFrame) -> tuple[DataFrame, bool]:
-    """The coordinates, kept for the rounds, and whether they are ours to release."""
+def _cached(points: DataFrame, drawn: bool = False) -> tuple[DataFrame, bool]:
+    """The coordinates, kept for the rounds, and whether they are ours to release; all
+    columns if centroids are to be drawn. They are dealt out evenly first: a file that is
+    read by one task, or splits of very different sizes, would leave the rounds to a few."""
     level = points.storageLevel
-    places = points.select("x", "y").dropna()
+    places = points.dropna(subset=["x", "y"])
+    if not drawn:
+        places = places.select("x", "y")
     if level.useMemory or level.useDisk:
         return places, False
-    return places.persist(), True
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    return places.repartition(cores).persist(), True
 
 
 def kmeans_centroids(
@@ -132,12 +138,12 @@ def kmeans_centroids(
     init: Sequence[tuple[float, float]] | None = None,
 ) -> Centroids:
     """The centroids that round ``max_iter`` assigns points to."""
-    kept, ours = _cached(points)
+    kept, ours = _cached(points, drawn=init is None)
     try:
         if init is not None:
             current: Centroids = [(cid, x, y) for cid, (x, y) in enumerate(init)]
         else:
-            current = draw_centroids(points.dropna(subset=["x", "y"]), [k], seed)[0]
+            current = draw_centroids(kept, [k], seed)[0]
         for _ in range(max_iter - 1):
             current = _move(kept, current)
     finally:
@@ -181,7 +187,7 @@ def elbow(
         starts = [init] * restarts
     restarts = restarts if starts is None else len(starts)
     ks = [k for k in range(1, max_k + 1) for _ in range(restarts)]
-    kept, ours = _cached(points)
+    kept, ours = _cached(points, drawn=starts is None)
     try:
         if starts is not None:
             current = [
@@ -190,7 +196,7 @@ def elbow(
                 for start in starts
             ]
         else:
-            current = draw_centroids(points.dropna(subset=["x", "y"]), ks, seed, key)
+            current = draw_centroids(kept, ks, seed, key)
         sse: list[float] = [0.0 for _ in ks]
         for _ in range(max_iter):
             current, sse = _move_all(kept, current)

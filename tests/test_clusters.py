@@ -248,3 +248,20 @@ def test_draws(spark):
     assert [len(s) for s in starts] == [1, 3]
     with pytest.raises(ValueError):
         draw_rows(df.where("id < 0"), 1)
+
+
+def test_points_read_by_one_task_are_dealt_to_all(spark):
+    """Also if centroids are drawn from them; the draw does not depend on it."""
+    rows = [(f"p{i}", float(i % 7), float(i % 11)) for i in range(400)] + [("none", None, 1.0)]
+    points = spark.createDataFrame(rows, "name string, x double, y double").coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    for drawn in (False, True):
+        kept, ours = K._cached(points, drawn)
+        sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+        assert ours and sum(sizes) == 400 and len(sizes) == cores
+        kept.unpersist()
+    one, all_tasks = (
+        K.elbow(df, 3, 4, restarts=2, seed=3, key=["name"]).collect()
+        for df in (points, points.repartition(5))
+    )
+    assert [r["sse"] for r in one] == pytest.approx([r["sse"] for r in all_tasks])
