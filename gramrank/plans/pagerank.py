@@ -10,7 +10,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gramrank import schemas
@@ -47,9 +46,10 @@ def pagerank(
 
     Runs when called. The distinct edges are written once to the shared folder; one
     grouping by source gives the degrees, the totals and the form of the ids. Edges are
-    then placed and sorted by source, with the out-degree on each, and kept before the
-    first round is planned. A round joins them in place: the sums per target, the only
-    thing shuffled, come to lie where the next round looks for them as sources.
+    then placed and sorted by source, a row for each with the array of its targets, and kept
+    before the first round is planned. A round joins sources, not edges, in place: the sums
+    per target, the only thing shuffled, come to lie where the next round looks for them as
+    sources.
 
     Sources with a large share of all edges would be a task of their own. Their edges are
     written apart, spread evenly over files, and meet the ranks of the listed sources (fewer than
@@ -85,7 +85,7 @@ def pagerank(
 
     start = 1.0 / sources
     target = start if teleport == "share" else 1.0
-    received = F.sum(F.col("rank") / F.col("deg"))
+    received = F.sum("share")
     if taxation:
         received = F.lit((1.0 - damping) * target) + F.lit(damping) * received
 
@@ -131,25 +131,26 @@ def _of_sources(df: DataFrame, hot: DataFrame, how: str) -> DataFrame:
 
 
 def _by_source(links: DataFrame, partitions: int) -> DataFrame:
-    """``[src, dst, deg]`` placed and sorted by source."""
-    same_source = F.count(F.lit(1)).over(W.partitionBy("src"))
-    placed = links.repartition(partitions, "src").withColumn("deg", same_source)
-    return placed.sortWithinPartitions("src")
+    """``[src, deg, targets]`` placed and sorted by source. A null target is one too."""
+    placed = links.repartition(partitions, "src").groupBy("src")
+    listed = placed.agg(F.count("*").alias("deg"), F.collect_list(F.struct("dst")).alias("to"))
+    return listed.select("src", "deg", F.col("to.dst").alias("targets")).sortWithinPartitions("src")
 
 
 def _passed_on(
     kept: list[DataFrame], ranks: DataFrame | None, hot: DataFrame, start: float
 ) -> DataFrame:
-    """``[dst, rank, deg]``, a row for each edge. Before the first round all sources have
-    the rank ``start``."""
-    columns = ["dst", "rank", "deg"]
-    if ranks is None:
-        parts = [table.withColumn("rank", F.lit(start)).select(*columns) for table in kept]
-    else:
-        parts = [kept[0].join(ranks, "src").select(*columns)]
-        if len(kept) > 1:
-            few = F.broadcast(_of_sources(ranks, hot, "left_semi"))
-            parts.append(kept[1].join(few, "src").select(*columns))
+    """``[dst, share]``, a row for each edge. Before the first round all sources have the
+    rank ``start``."""
+
+    def sent(table: DataFrame, ranks: DataFrame | None) -> DataFrame:
+        ranked = table.withColumn("rank", F.lit(start)) if ranks is None else table.join(ranks, "src")
+        return ranked.withColumn("share", F.col("rank") / F.col("deg"))
+
+    parts = [sent(kept[0], ranks).select(F.explode("targets").alias("dst"), "share")]
+    if len(kept) > 1:
+        few = None if ranks is None else F.broadcast(_of_sources(ranks, hot, "left_semi"))
+        parts.append(sent(kept[1], few).select("dst", "share"))
     return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
 
 

@@ -180,3 +180,19 @@ def test_dead_ends_lose_rank_and_closed_graphs_keep_it(spark):
     edges = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c")]
     df = spark.createDataFrame(edges, "src string, dst string")
     assert sum(as_dict(P.pagerank(df, taxation=True)).values()) == pytest.approx(1.0)
+
+
+def test_a_source_is_one_row_in_all_rounds(spark, monkeypatch):
+    """Sources are joined, not edges; an empty target is a target too."""
+    kept = []
+    plain_join = P._passed_on
+    monkeypatch.setattr(P, "_passed_on", lambda tables, *rest: kept.append(
+        [r.asDict() for r in tables[0].collect()]
+    ) or plain_join(tables, *rest))
+    edges = [("1", str(i)) for i in range(1, 30)] + [("2", "1"), ("2", "1"), ("2", ""), ("3", "2")]
+    df = spark.createDataFrame(edges, "src string, dst string")
+    found = as_dict(P.pagerank(df, iterations=2))
+    assert [sorted(row["src"] for row in table) for table in kept] == [[1, 2, 3]] * 2
+    targets = {row["src"]: (row["deg"], len(row["targets"])) for row in kept[0]}
+    assert targets == {1: (29, 29), 2: (2, 2), 3: (1, 1)}
+    assert found == pytest.approx(plain.pagerank(sorted(set(edges)), False, 2), abs=1e-12)
