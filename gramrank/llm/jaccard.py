@@ -34,6 +34,8 @@ from gramrank.session import new_shared_path
 
 #: Counters of the shingle frequencies, whatever the size of the corpus.
 COUNTER_BITS = 20
+#: Bytes of text whose words are hashed at a time; a longer text by itself.
+HASHED_BYTES = 1 << 18
 #: Sets of so many shingles are told apart by the bitmaps in the lists.
 LISTED_SHINGLES = 2300
 
@@ -127,7 +129,7 @@ def count_shingles(docs: DataFrame, words: int) -> np.ndarray:
         total, rows = np.zeros(size, dtype=np.int64), 0
         for batch in batches:
             rows += batch.num_rows
-            for texts in T.chunks(batch.column(0)):
+            for texts in T.chunks(batch.column(0), HASHED_BYTES):
                 tokens = list(shingle_sets(texts, words))
                 total += np.bincount(counter(np.concatenate(tokens)), minlength=size)
         if rows:
@@ -162,7 +164,7 @@ def index_sets(docs: DataFrame, rule: Rule, counts: np.ndarray) -> DataFrame:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = sent.value
         for batch in batches:
-            for texts in T.chunks(batch.column(2)):
+            for texts in T.chunks(batch.column(2), HASHED_BYTES):
                 key, n, bits, wide, prefix = [], [], [], [], []
                 for tokens in shingle_sets(texts, rule.words):
                     n.append(len(tokens))
@@ -238,7 +240,7 @@ def verify(
 
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in T.chunks(batch.column(0)):
+            for texts in T.chunks(batch.column(0), HASHED_BYTES):
                 tokens = list(shingle_sets(texts, rule.words))
                 yield pa.record_batch(
                     [

@@ -2,6 +2,7 @@ import random
 
 import llm_plain
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -105,3 +106,26 @@ def test_components(spark):
     found = {r["node"]: r["component"] for r in components(df, "a", "b").collect()}
     assert found == {x: root(x) for x in parent if root(x) != x}
     assert components(df.limit(0), "a", "b").count() == 0
+
+
+def test_few_words_are_hashed_at_a_time(spark):
+    """Texts of a batch go through in slices, and give the same sets."""
+    texts = [" ".join(f"w{(i * j) % 97}" for j in range(2000)) for i in range(80)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.record_batch([ids, ids, pa.array(texts)], names=["doc_id", "text_key", "text"])
+
+    class Docs:
+        sparkSession = spark
+        schema = spark.createDataFrame([], "doc_id long, text_key long, text string").schema
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, index, schema):
+            return list(index([batch]))
+
+    found = J.index_sets(Docs(), J.Rule(), np.zeros(1 << J.COUNTER_BITS, dtype=np.int64))
+    assert sum(map(len, texts)) < 1 << 20 and len(found) > 1
+    rows = pa.Table.from_batches(found)
+    assert rows["doc_id"].to_pylist() == ids.to_pylist()
+    assert rows["n"].to_pylist() == [len({tuple(t.split()[k : k + 5]) for k in range(1996)}) for t in texts]
