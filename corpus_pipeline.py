@@ -36,8 +36,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind."""
-    found = pii.find_personal_data(docs)
+    """Documents with personal data replaced by its kind. The text goes to the tasks and
+    comes back once, not a second time in the row."""
+    found = pii.find_personal_data(docs, [c for c in docs.columns if c != "text"])
     redacted = {
         "text": F.col("redacted"),
         "n_chars": F.when(F.col("spans") == "", F.col("row.n_chars")).otherwise(

@@ -230,20 +230,22 @@ def score_documents(
     docs: DataFrame, model: Quality, carry: list[str] | None = None
 ) -> DataFrame:
     """``[row, score]``: ``row`` holds the columns ``carry`` of ``docs``, all if not given.
-    An empty or null text has a score as any other."""
+    An empty or null text has a score as any other. A text that is carried goes to the
+    tasks once, and rows are handed on a chunk of texts at a time."""
+    names = carry or docs.columns
+    carried = "text" in names
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [
-                model.score(features(part)) for part in T.chunks(batch.column("text"))
-            ]
-            scores = np.concatenate(found) if found else np.zeros(0)
-            yield pa.record_batch(
-                [batch.column("row"), pa.array(scores, pa.float64())], names=["row", "score"]
-            )
-
-    row = F.struct(*[F.col(f"`{name}`") for name in carry or docs.columns])
-    plain = docs.select(row.alias("row"), "text")
+            row = batch.column("row")
+            for part in T.chunks(row.field("text") if carried else batch.column("text")):
+                scores = pa.array(model.score(features(part)), pa.float64())
+                yield pa.record_batch(
+                    [row.slice(part.first, len(part)), scores], names=["row", "score"]
+                )
+
+    row = F.struct(*[F.col(f"`{name}`") for name in names])
+    plain = docs.select(row.alias("row"), *([] if carried else ["text"]))
     kind = plain.schema["row"].dataType.simpleString()
     return plain.mapInArrow(score, f"row {kind}, score double")
 

@@ -29,7 +29,10 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def _lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
+def _lstm(
+    x: np.ndarray, w: np.ndarray, b: np.ndarray, keep: bool = True
+) -> tuple[np.ndarray, list]:
+    """Outputs, and what the gradients need of each step if ``keep`` is on."""
     steps, n, _ = x.shape
     size = w.shape[1] // 4
     h, c = np.zeros((n, size), x.dtype), np.zeros((n, size), x.dtype)
@@ -41,7 +44,8 @@ def _lstm(x: np.ndarray, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list
         g = np.tanh(gates[:, 3 * size :])
         before, c = c, f * c + i * g
         squashed = np.tanh(c)
-        kept.append((i, f, o, g, before, squashed, h))
+        if keep:
+            kept.append((i, f, o, g, before, squashed, h))
         h = o * squashed
         out[t] = h
     return out, kept
@@ -119,13 +123,13 @@ class Tagger:
 
     def emissions(self, ids: np.ndarray) -> np.ndarray:
         """Tag scores ``[time, sequence, tag]`` of character ids ``[sequence, time]``."""
-        return self._run(ids)[0]
+        return self._run(ids, keep=False)[0]
 
-    def _run(self, ids: np.ndarray) -> tuple:
+    def _run(self, ids: np.ndarray, keep: bool = True) -> tuple:
         w = self.weights
         x = w["chars"][ids.T]
-        ahead, kept_a = _lstm(x, w["w_ahead"], w["b_ahead"])
-        back, kept_b = _lstm(x[::-1], w["w_back"], w["b_back"])
+        ahead, kept_a = _lstm(x, w["w_ahead"], w["b_ahead"], keep)
+        back, kept_b = _lstm(x[::-1], w["w_back"], w["b_back"], keep)
         both = np.concatenate([ahead, back[::-1]], axis=2)
         return both @ w["w_out"] + w["b_out"], x, both, kept_a, kept_b
 

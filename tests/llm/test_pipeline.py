@@ -71,3 +71,19 @@ def test_stages(spark, tables):
 
 def test_run_on_empty_tables(spark, tables):
     assert C.run(spark, tables([], [])).count() == 0
+
+
+def _sent_to_python(df):
+    """Types of the columns that the plan's Arrow step gets."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().apply(0)
+    return node.children().apply(0).schema().json()
+
+
+def test_a_text_goes_to_the_tasks_once(spark, tables, monkeypatch):
+    path = tables([(i, f"some text {i}") for i in range(8)], [(1, 1, 0), (2, 0, 0)])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    monkeypatch.setattr(C.pii, "train_tagger", lambda docs: None)
+    for stage in (C.quality, C.private):
+        assert _sent_to_python(stage(spark, docs, path)).count('"name":"text"') == 1
