@@ -36,7 +36,7 @@ def document_stats(counts: DataFrame) -> DataFrame:
 
 def document_frequency(counts: DataFrame) -> DataFrame:
     """``[word, df]``: number of documents that have the word."""
-    return counts.where("n > 0").groupBy("word").agg(F.count("*").alias("df"))
+    return counts.where("n > 0 and word is not null").groupBy("word").agg(F.count("*").alias("df"))
 
 
 def document_total(counts: DataFrame) -> DataFrame:
@@ -71,14 +71,17 @@ def _added_up(terms: DataFrame) -> DataFrame:
     return terms.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
 
 
-def _by_rows_of_id(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _by_rows_of_id(
+    articles: DataFrame, has_id: str = "doc_id is not null"
+) -> tuple[DataFrame, DataFrame]:
     """``[doc_id, words, ns]``, a row a text: those whose id no other row has, and those
-    that share one. Both come of one shuffle."""
-    known = articles.where(F.col("doc_id").isNotNull())
+    that share one. Both come of one shuffle. ``has_id`` is all that the plan demands of an
+    id anywhere: what it demanded in some uses only would make further shuffles."""
+    known = articles.where(has_id)
     shared = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = shared.select("doc_id").hint("shuffle_hash")
     # the condition that one of the joins would add by itself, on both
-    rows = text_counts(known).where(F.col("doc_id").isNotNull())
+    rows = text_counts(known).where(has_id)
     return rows.join(shared, "doc_id", "left_anti"), rows.join(shared, "doc_id", "left_semi")
 
 
@@ -130,9 +133,9 @@ def tf_idf(articles: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
 
 def document_weights(articles: DataFrame) -> DataFrame:
     """``[doc_id, words, weights]``: the words of each document and their TF-IDF values, as
-    two arrays in one row, placed by id. Ids are unique here, so a document has at most the
+    two arrays in one row, placed by id. An empty id is none. Ids are unique here, so a document has at most the
     vocabulary of one text."""
-    single, several = _by_rows_of_id(articles)
+    single, several = _by_rows_of_id(articles, "doc_id is not null and doc_id != ''")
     added = _added_up(_terms(several))
     counts = _terms(single).unionByName(added)
     # the highest count comes out of the grouping: as an expression over the array it would
