@@ -11,10 +11,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.functions.text import join_sentences, sentence_array, sentence_word_array
+from gramrank.operators.counts import cleaned_rows
 from gramrank.operators.topk import best_values
 from gramrank.plans.tfidf import document_weights
 from gramrank.sources.text import with_doc_id
@@ -48,6 +50,24 @@ def _offsets(lists: pa.Array) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
 
 
+def words_of(sentences: pa.Array) -> pa.Array:
+    """Distinct words of each sentence in lists of sentences, as ``sentence_word_array`` has
+    them but for the empty string, over the bytes of all sentences at once."""
+    split = pc.split_pattern(cleaned_rows(sentences.flatten(), b" "), " ")
+    sizes = split.value_lengths().to_numpy(zero_copy_only=False)
+    tokens = split.flatten().dictionary_encode()
+    codes = tokens.indices.to_numpy(zero_copy_only=False)
+    # a sentence and a word in one whole number
+    span = len(tokens.dictionary) + 1
+    keys = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) * span + codes
+    keys = np.unique(keys[codes != pc.index(tokens.dictionary, "").as_py()])
+    sentence, word = np.divmod(keys, span)
+    by_sentence = np.concatenate([[0], np.cumsum(np.bincount(sentence, minlength=len(sizes)))])
+    words = tokens.dictionary.take(pa.array(word)).cast(pa.string())
+    lines = pa.ListArray.from_arrays(pa.array(by_sentence.astype(np.int32)), words)
+    return pa.ListArray.from_arrays(pa.array(_offsets(sentences)), lines)
+
+
 class Weighed:
     """Sentences (lists of words) of a batch of rows, with the weights their words have
     among the row's own ``words`` and ``weights``; ``known`` says which are there."""
@@ -60,6 +80,7 @@ class Weighed:
         self.sentence_of_word = np.repeat(np.arange(len(lines)), np.diff(self.by_sentence))
         row_of_known = np.repeat(rows, np.diff(_offsets(words)))
         listed, asked = words.flatten(), lines.flatten()
+        self.asked = asked
         codes = pa.concat_arrays([listed, asked]).dictionary_encode().indices.to_numpy()
         # a row and a word in one whole number
         span = int(codes.max(initial=0)) + 1
@@ -80,6 +101,16 @@ class Weighed:
         lines = pa.ListArray.from_arrays(pa.array(self.by_sentence), flat)
         return pa.ListArray.from_arrays(pa.array(self.by_row), lines)
 
+    def pairs(self) -> pa.Array:
+        """Known words with their weights, as lists of the sentences' shape."""
+        words = pc.filter(self.asked, pa.array(self.known))
+        pairs = pa.StructArray.from_arrays(
+            [words, pa.array(self.values[self.known])], ["word", "tfidf"]
+        )
+        before = np.concatenate([[0], np.cumsum(self.known)]).astype(np.int32)
+        lines = pa.ListArray.from_arrays(pa.array(before[self.by_sentence]), pairs)
+        return pa.ListArray.from_arrays(pa.array(self.by_row), lines)
+
     def scores(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Sum of the ``k`` best weights of each sentence, and whether it has any. Added up
         from the largest down, so sentences with the same values have the same score to the
@@ -113,9 +144,8 @@ class Weighed:
 
 
 def _in_rows(articles: DataFrame) -> DataFrame:
-    """``[doc_id, sentences, lines, known, weights]``, a row a document: its sentences in
-    order, the distinct words of each, and the words of the document with their TF-IDF
-    values.
+    """``[doc_id, sentences, known, weights]``, a row a document: its sentences in order, and
+    the words of the document with their TF-IDF values.
 
     Texts and weights meet by id where they lie. They are many times larger than the files
     they come from, so their size is not to be judged by that: the merge hint rules out
@@ -127,7 +157,6 @@ def _in_rows(articles: DataFrame) -> DataFrame:
     return split.select(
         "doc_id",
         "sentences",
-        F.transform("sentences", sentence_word_array).alias("lines"),
         F.coalesce("words", F.array().cast("array<string>")).alias("known"),
         F.coalesce("weights", F.array().cast("array<double>")).alias("weights"),
     )
@@ -135,16 +164,12 @@ def _in_rows(articles: DataFrame) -> DataFrame:
 
 def sentence_weights(articles: DataFrame) -> DataFrame:
     """``[doc_id, sid, word, tfidf]`` of sentence words that are document words."""
-    weigh = F.arrow_udf(lambda *row: Weighed(*row).lists(), "array<array<double>>")
-    rows = _in_rows(articles).withColumn("lines", F.explode(F.array("lines")))
-    weighed = rows.select("doc_id", "lines", weigh("lines", "known", "weights").alias("weights"))
-    lines = weighed.select(
-        "doc_id", F.posexplode(F.arrays_zip("lines", "weights")).alias("sid", "line")
-    )
-    pairs = F.arrays_zip(F.col("line.lines").alias("word"), F.col("line.weights").alias("tfidf"))
-    return lines.select("doc_id", "sid", F.inline(pairs).alias("word", "tfidf")).where(
-        "tfidf is not null"
+    kind = "array<array<struct<word:string,tfidf:double>>>"
+    weigh = F.arrow_udf(lambda row, *known: Weighed(words_of(row), *known).pairs(), kind)
+    weighed = _in_rows(articles).select(
+        "doc_id", F.posexplode(weigh("sentences", "known", "weights")).alias("sid", "line")
     )
+    return weighed.select("doc_id", "sid", F.inline("line").alias("word", "tfidf"))
 
 
 def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
@@ -167,13 +192,13 @@ def sentence_scores(articles: DataFrame, k: int = 5) -> DataFrame:
     """``[doc_id, sid, score]``: as ``score_sentences``, within the rows of documents."""
 
     @F.arrow_udf("array<double>")
-    def scores(lines: pa.Array, known: pa.Array, weights: pa.Array) -> pa.Array:
-        weighed = Weighed(lines, known, weights)
+    def scores(sentences: pa.Array, known: pa.Array, weights: pa.Array) -> pa.Array:
+        weighed = Weighed(words_of(sentences), known, weights)
         score, scored = weighed.scores(k)
         flat = pa.array(score, pa.float64(), mask=~scored)
         return pa.ListArray.from_arrays(pa.array(weighed.by_row), flat)
 
-    listed = F.posexplode(scores("lines", "known", "weights")).alias("sid", "score")
+    listed = F.posexplode(scores("sentences", "known", "weights")).alias("sid", "score")
     return _in_rows(articles).select("doc_id", listed).where("score is not null")
 
 
@@ -190,9 +215,11 @@ def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
 
     Documents without a scored sentence keep an empty summary.
     """
-    pick = F.arrow_udf(lambda *row: Weighed(*row).best(k, n), "array<int>")
+    pick = F.arrow_udf(
+        lambda row, *known: Weighed(words_of(row), *known).best(k, n), "array<int>"
+    )
     picked = _in_rows(articles).select(
-        "doc_id", "sentences", pick("lines", "known", "weights").alias("sids")
+        "doc_id", "sentences", pick("sentences", "known", "weights").alias("sids")
     )
     chosen = F.filter("sentences", lambda _, sid: F.array_contains("sids", sid))
     return picked.select("doc_id", F.coalesce(join_sentences(chosen), F.lit("")).alias("summary"))

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gramrank.operators import counts, skew, topk
+from gramrank.functions import text as X
 from gramrank.operators.counts import term_counts, text_counts
 from gramrank.plans import summary as S
 from gramrank.plans import tfidf as T
@@ -286,3 +287,35 @@ def test_texts_are_split_in_slices(monkeypatch):
     whole = [row for part in slices for row in counts._count_rows(part).to_pylist()]
     assert [row["doc_id"] for row in whole] == [0, 3, 4, 5, 6]
     assert whole[2] == {"doc_id": 4, "words": ["b"], "ns": [2]}
+
+
+ODD_TEXTS = [
+    "Al\u212avin \u0130stanbul É ß\x0b x\x1cy\x7f\x00", None, "", "  ", "a\tb\nc\rd\fe f", "a b a. B-b!", "你 好1",
+]
+
+
+def test_cleaning_over_bytes_equals_the_expressions(spark):
+    df = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "doc_id int, body string")
+    rows = df.select("doc_id", X.cleaned_text(F.col("body")).alias("t")).orderBy("doc_id").collect()
+    texts = pa.array(["skipped", *ODD_TEXTS])[1:]
+    assert counts.cleaned_rows(texts).to_pylist() == [r["t"] or "" for r in rows]
+    plan = text_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_replace" not in plan
+    listed = df.select("doc_id", F.transform(F.array("body", "body"), X.sentence_word_array).alias("w"))
+    want = [[sorted(set(line or []) - {""}) for line in r["w"]] for r in listed.orderBy("doc_id").collect()]
+    sentences = pa.array([["skipped"], *([t, t] for t in ODD_TEXTS), []])[1:]
+    found = S.words_of(sentences).to_pylist()
+    assert [[sorted(line) for line in row] for row in found] == [*want, []]
+
+
+def test_sentence_words_are_split_where_they_are_looked_up(articles):
+    """Sentences go to the look-up whole; no regular expression runs over each of them."""
+    for df in (S.sentence_weights(articles), S.sentence_scores(articles), S.summarize(articles)):
+        assert "regexp_replace" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_of_summaries_share_one_shuffle(articles):
+    """All uses of the counted texts filter them alike, or each would count them anew."""
+    plan = S.summarize(articles)._jdf.queryExecution().executedPlan().toString()
+    found = re.findall(r"Filter ([^\n]*)\n[^\n]*MapInArrow", plan)
+    assert len(found) > 2 and len({re.sub(r"#\d+L?", "", one) for one in found}) == 1
