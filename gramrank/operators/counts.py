@@ -69,6 +69,11 @@ def term_counts(articles: DataFrame) -> DataFrame:
 def in_slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
     """Runs of the batch's rows with some ``SPLIT_BYTES`` bytes in column ``text``."""
     sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
+    yield from slices_of(batch, sizes)
+
+
+def slices_of(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Runs of the batch's rows with some ``SPLIT_BYTES`` bytes by the ``sizes`` of rows."""
     ends = np.cumsum(sizes, dtype=np.int64)
     low = 0
     while low < batch.num_rows:
@@ -93,22 +98,33 @@ def text_counts(articles: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, f"doc_id {id_type}, words array<string>, ns array<bigint>")
 
 
-def _count_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    split = pc.ascii_split_whitespace(cleaned_rows(batch.column(1)))
+def row_words(
+    texts: pa.Array, row_of_text: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, place of the word in the array given last, and count of each distinct word of a
+    row, by row. Every text is a row, or a part of that in ``row_of_text``."""
+    split = pc.ascii_split_whitespace(cleaned_rows(texts))
     sizes = split.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     tokens = split.flatten().dictionary_encode()
+    if row_of_text is None:
+        row_of_text = np.arange(len(sizes), dtype=np.int64)
     # a row and a word in one whole number
     span = len(tokens.dictionary) + 1
-    keys = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) * span
+    keys = np.repeat(row_of_text, sizes) * span
     keys += tokens.indices.to_numpy(zero_copy_only=False)
     empty = pc.index(tokens.dictionary, "").as_py()
     keys, ns = np.unique(keys[keys % span != empty], return_counts=True)
     row, word = np.divmod(keys, span)
+    return row, word, ns, tokens.dictionary.cast(pa.string())
+
+
+def _count_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    row, word, ns, dictionary = row_words(batch.column(1))
     order = np.lexsort((-ns, row))
     word, ns = word[order], ns[order]
     rows, sizes = np.unique(row, return_counts=True)
     offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-    words = tokens.dictionary.take(pa.array(word)).cast(pa.string())
+    words = dictionary.take(pa.array(word))
     return pa.record_batch(
         [
             batch.column(0).take(pa.array(rows)),

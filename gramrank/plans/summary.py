@@ -1,14 +1,17 @@
 """Extractive summaries: sentences scored by their best TF-IDF words.
 
 Ids must be unique here (``first_per_id`` makes them so): a sentence number means
-something within one body only. Texts are placed by id once. A document's words and weights
-come to the same place as two arrays, one row a document, and sentence words are looked up
-there: sentences are split, weighed, scored and picked within the row, and neither sentence
-words nor sentences are ever shuffled, sorted or joined on their own.
+something within one body only. Texts are placed by id once. Document frequencies come to
+the same place with the words of whole blocks of documents, each word once a block, and
+sentence words are looked up there: words are counted and weighed, and sentences scored and
+picked, within the row. Words of documents, sentence words and sentences are never shuffled,
+sorted or joined on their own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,16 +19,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gramrank.functions.text import join_sentences, sentence_array, sentence_word_array
-from gramrank.operators.counts import cleaned_rows
+from gramrank.operators.blocks import Terms, listed_terms, looked_up_terms, with_values
+from gramrank.operators.counts import cleaned_rows, slices_of
 from gramrank.operators.topk import best_values
-from gramrank.plans.tfidf import document_weights
+from gramrank.plans.tfidf import block_weights
 from gramrank.sources.text import with_doc_id
 
 
 def placed_by_id(articles: DataFrame) -> DataFrame:
     """``[doc_id, body]`` of articles with an id, shuffled by it; words counted, numbered
-    or joined per document from here on stay where they are."""
-    return with_doc_id(articles).select("doc_id", "body").repartition("doc_id")
+    or joined per document from here on stay where they are. The number of partitions is
+    given, so that adaptive execution leaves them as they are."""
+    partitions = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return with_doc_id(articles).select("doc_id", "body").repartition(partitions, "doc_id")
 
 
 def sentences(articles: DataFrame) -> DataFrame:
@@ -143,33 +149,64 @@ class Weighed:
         )
 
 
-def _in_rows(articles: DataFrame) -> DataFrame:
-    """``[doc_id, sentences, known, weights]``, a row a document: its sentences in order, and
-    the words of the document with their TF-IDF values.
+def _sentence_bytes(sentences: pa.Array) -> np.ndarray:
+    """Bytes of the sentences of each row."""
+    sizes = pc.binary_length(sentences.flatten()).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return np.diff(ends[_offsets(sentences)])
+
+
+def _weights(terms: Terms, rows: int) -> tuple[pa.Array, pa.Array]:
+    """Words of each row and their TF-IDF values, of counted words with their IDF."""
+    row, n, idf, words = terms
+    most = np.zeros(rows, dtype=np.int64)
+    np.maximum.at(most, row, n)
+    weights = (0.5 + 0.5 * (n / most[row])) * idf
+    sizes = np.bincount(row, minlength=rows)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+    return (
+        pa.ListArray.from_arrays(offsets, words),
+        pa.ListArray.from_arrays(offsets, pa.array(weights, pa.float64())),
+    )
+
+
+def _weighed_rows(
+    articles: DataFrame, kind: str, pick: Callable[[pa.Array, Weighed], pa.Array]
+) -> DataFrame:
+    """``[doc_id, found]``, a row a document: what ``pick`` makes of its sentences and the
+    TF-IDF values of their words.
 
-    Texts and weights meet by id where they lie. They are many times larger than the files
-    they come from, so their size is not to be judged by that: the merge hint rules out
-    that either is broadcast. One-row explodes keep what was split as columns; it would
-    else be split again for each use."""
+    Texts go through one shuffle, for both uses, with as many partitions in both. Words of a
+    block come back to its first document, and the join leaves rows in order of their ids.
+    Texts are many times larger than the files they come from, so their size is not to be
+    judged by that: the merge hint rules out that they are broadcast, and keeps the order."""
     placed = placed_by_id(articles)
-    joined = placed.hint("merge").join(document_weights(placed), "doc_id", "left")
-    split = joined.withColumn("sentences", F.explode(F.array(sentence_array(F.col("body")))))
-    return split.select(
-        "doc_id",
-        "sentences",
-        F.coalesce("words", F.array().cast("array<string>")).alias("known"),
-        F.coalesce("weights", F.array().cast("array<double>")).alias("weights"),
+    joined = placed.hint("merge").join(block_weights(placed), "doc_id", "left")
+    rows = joined.select(
+        "doc_id", sentence_array(F.col("body")).alias("sentences"), "words", "idfs", "ns"
     )
 
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run, known, idfs in with_values(batches, 2):
+            for part in slices_of(run, _sentence_bytes(run.column(1))):
+                ids, sentences, words, values, ns = part.columns
+                if known is None:
+                    terms = listed_terms(words, ns, values)
+                else:
+                    terms = looked_up_terms(sentences, known, idfs)
+                weighed = Weighed(words_of(sentences), *_weights(terms, len(ids)))
+                yield pa.record_batch([ids, pick(sentences, weighed)], names=["doc_id", "found"])
+
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(weigh, f"doc_id {id_type}, found {kind}")
+
 
 def sentence_weights(articles: DataFrame) -> DataFrame:
     """``[doc_id, sid, word, tfidf]`` of sentence words that are document words."""
     kind = "array<array<struct<word:string,tfidf:double>>>"
-    weigh = F.arrow_udf(lambda row, *known: Weighed(words_of(row), *known).pairs(), kind)
-    weighed = _in_rows(articles).select(
-        "doc_id", F.posexplode(weigh("sentences", "known", "weights")).alias("sid", "line")
-    )
-    return weighed.select("doc_id", "sid", F.inline("line").alias("word", "tfidf"))
+    lines = _weighed_rows(articles, kind, lambda _, weighed: weighed.pairs())
+    listed = lines.select("doc_id", F.posexplode("found").alias("sid", "line"))
+    return listed.select("doc_id", "sid", F.inline("line").alias("word", "tfidf"))
 
 
 def top_weights(weights: DataFrame, k: int = 5) -> DataFrame:
@@ -191,15 +228,14 @@ def score_sentences(weights: DataFrame, k: int = 5) -> DataFrame:
 def sentence_scores(articles: DataFrame, k: int = 5) -> DataFrame:
     """``[doc_id, sid, score]``: as ``score_sentences``, within the rows of documents."""
 
-    @F.arrow_udf("array<double>")
-    def scores(sentences: pa.Array, known: pa.Array, weights: pa.Array) -> pa.Array:
-        weighed = Weighed(words_of(sentences), known, weights)
+    def scores(_: pa.Array, weighed: Weighed) -> pa.Array:
         score, scored = weighed.scores(k)
         flat = pa.array(score, pa.float64(), mask=~scored)
         return pa.ListArray.from_arrays(pa.array(weighed.by_row), flat)
 
-    listed = F.posexplode(scores("sentences", "known", "weights")).alias("sid", "score")
-    return _in_rows(articles).select("doc_id", listed).where("score is not null")
+    lists = _weighed_rows(articles, "array<double>", scores)
+    listed = lists.select("doc_id", F.posexplode("found").alias("sid", "score"))
+    return listed.where("score is not null")
 
 
 def top_sentences(scores: DataFrame, n: int = 3) -> DataFrame:
@@ -215,11 +251,12 @@ def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
 
     Documents without a scored sentence keep an empty summary.
     """
-    pick = F.arrow_udf(
-        lambda row, *known: Weighed(words_of(row), *known).best(k, n), "array<int>"
-    )
-    picked = _in_rows(articles).select(
-        "doc_id", "sentences", pick("sentences", "known", "weights").alias("sids")
-    )
-    chosen = F.filter("sentences", lambda _, sid: F.array_contains("sids", sid))
-    return picked.select("doc_id", F.coalesce(join_sentences(chosen), F.lit("")).alias("summary"))
+
+    def best(sentences: pa.Array, weighed: Weighed) -> pa.Array:
+        numbers = weighed.best(k, n)
+        before = np.repeat(weighed.by_row[:-1], np.diff(_offsets(numbers)))
+        chosen = sentences.flatten().take(pa.array(before + numbers.flatten().to_numpy()))
+        return pa.ListArray.from_arrays(numbers.offsets, chosen)
+
+    chosen = _weighed_rows(articles, "array<string>", best)
+    return chosen.select("doc_id", F.coalesce(join_sentences("found"), F.lit("")).alias("summary"))

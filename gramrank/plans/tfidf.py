@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gramrank.operators.blocks import block_words, one_row_a_block
 from gramrank.operators.counts import text_counts
 from gramrank.operators.skew import PIECE_ROWS, spread_join
 
@@ -71,12 +72,10 @@ def _added_up(terms: DataFrame) -> DataFrame:
     return terms.groupBy("doc_id", "word").agg(F.sum("n").alias("n"))
 
 
-def _by_rows_of_id(
-    articles: DataFrame, has_id: str = "doc_id is not null"
-) -> tuple[DataFrame, DataFrame]:
+def _by_rows_of_id(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``[doc_id, words, ns]``, a row a text: those whose id no other row has, and those
-    that share one. Both come of one shuffle. ``has_id`` is all that the plan demands of an
-    id anywhere: what it demanded in some uses only would make further shuffles."""
+    that share one. Both come of one shuffle."""
+    has_id = "doc_id is not null"
     known = articles.where(has_id)
     shared = known.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
     shared = shared.select("doc_id").hint("shuffle_hash")
@@ -131,28 +130,16 @@ def tf_idf(articles: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     )
 
 
-def document_weights(articles: DataFrame) -> DataFrame:
-    """``[doc_id, words, weights]``: the words of each document and their TF-IDF values, as
-    two arrays in one row, placed by id. An empty id is none. Ids are unique here, so a document has at most the
-    vocabulary of one text."""
-    single, several = _by_rows_of_id(articles, "doc_id is not null and doc_id != ''")
-    added = _added_up(_terms(several))
-    counts = _terms(single).unionByName(added)
-    # the highest count comes out of the grouping: as an expression over the array it would
-    # be worked out again for each element
-    terms = (
-        with_frequency(counts, counts)
-        .repartition("doc_id")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("word", "n", "df")).alias("terms"), F.max("n").alias("max_n"))
-    )
-
-    def weight(term: Column) -> Column:
-        tf = F.lit(0.5) + F.lit(0.5) * (term["n"] / F.col("max_n"))
-        return tf * F.log10(F.col("n_docs") / term["df"])
-
-    return terms.withColumn("n_docs", _total(single, added)).select(
-        "doc_id",
-        F.col("terms.word").alias("words"),
-        F.transform("terms", weight).alias("weights"),
-    )
+def block_weights(texts: DataFrame) -> DataFrame:
+    """``[doc_id, words, idfs, ns]`` of ``[doc_id, body]``, placed by id: the words of each
+    block of documents, and their ``log10(N / df)``, as arrays in a row of the block's first
+    document; see :mod:`gramrank.operators.blocks`."""
+    # placed by word once for all uses: each needs all columns and demands what a join with
+    # texts that have an id would
+    has_id = "not (doc_id = '') and doc_id is not null"
+    words = block_words(texts).where(has_id).repartition("word")
+    documents = F.when(F.expr(has_id), F.greatest(F.col("n"), F.lit(1)))
+    frequency = words.groupBy("word").agg(F.sum(documents).alias("df"))
+    found = spread_join(words, frequency, "word", "df", ["doc_id"])
+    idfs = F.transform("dfs", lambda df: F.log10(F.col("n_docs") / df))
+    return one_row_a_block(found).select("doc_id", "words", idfs.alias("idfs"), "ns")
