@@ -239,13 +239,37 @@ def sentence_scores(articles: DataFrame, k: int = 5) -> DataFrame:
 
 
 def top_sentences(scores: DataFrame, n: int = 3) -> DataFrame:
-    """``[doc_id, sid, score]`` of the ``n`` best sentences of each document, whose scores
-    fit in a row as its text did; of equal scores the later sentence is kept."""
-    listed = scores.groupBy("doc_id").agg(F.collect_list(F.struct("score", "sid")).alias("all"))
+    """``[doc_id, sid, score]`` of the ``n`` best sentences of each document; of equal scores
+    the later sentence is kept. Each task hands on at most ``n`` sentences of a document from
+    a batch, and those without a number or score."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _best_sentences(batch, n)
+
+    kinds = ", ".join(
+        f"{name} {scores.schema[name].dataType.simpleString()}" for name in ("doc_id", "sid", "score")
+    )
+    few = scores.select("doc_id", "sid", "score").mapInArrow(partial, kinds)
+    listed = few.groupBy("doc_id").agg(F.collect_list(F.struct("score", "sid")).alias("all"))
     best = F.slice(F.sort_array("all", asc=False), 1, n)
     return listed.select("doc_id", F.inline(best)).select("doc_id", "sid", "score")
 
 
+def _best_sentences(batch: pa.RecordBatch, n: int) -> pa.RecordBatch:
+    """Rows of a batch ``[doc_id, sid, score]`` that may be among the best."""
+    doc = batch.column(0).dictionary_encode("encode").indices.to_numpy()
+    sid = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
+    score = batch.column(2).cast(pa.float64()).fill_null(np.nan).to_numpy(zero_copy_only=False)
+    sure = batch.column(1).is_valid().to_numpy(zero_copy_only=False) & ~np.isnan(score)
+    order = np.lexsort((-sid, -score, doc))
+    order = order[sure[order]]
+    place = np.arange(len(order)) - np.searchsorted(doc[order], doc[order])
+    kept = np.sort(np.concatenate([order[place < n], np.flatnonzero(~sure)]))
+    return batch.take(pa.array(kept))
+
+
 def summarize(articles: DataFrame, n: int = 3, k: int = 5) -> DataFrame:
     """``[doc_id, summary]``: the ``n`` best sentences in text order.
 

@@ -43,3 +43,18 @@ def test_words_of_a_block_are_sent_once(spark):
 def test_words_that_were_not_counted_are_an_error():
     with pytest.raises(RuntimeError):
         blocks.looked_up_terms(pa.array([["a b"]]), pa.array(["a"]), np.zeros(1))
+
+
+def test_best_sentences_of_a_batch_are_handed_on():
+    nan = float("nan")
+    rows = [("1", 0, 0.5), ("1", 1, 0.5), ("1", 2, 0.25), ("2", 0, None), ("2", 1, nan), ("2", 2, 0.0), ("2", 3, -0.0), ("1", 3, 0.5)]
+    columns = [pa.array(column) for column in zip(*rows, strict=True)]
+    kept = S._best_sentences(pa.record_batch(columns, names=["doc_id", "sid", "score"]), 2).to_pydict()
+    assert list(zip(kept["doc_id"], kept["sid"])) == [("1", 1), ("2", 0), ("2", 1), ("2", 2), ("2", 3), ("1", 3)]
+
+
+def test_sentences_without_a_score_come_last(spark):
+    rows = [("1", 0, None), ("1", 1, 0.5), ("1", 2, float("nan")), ("1", 3, 0.5), ("2", 0, None), (None, 0, 1.0)]
+    df = spark.createDataFrame(rows, "doc_id string, sid int, score double")
+    found = [(r["doc_id"], r["sid"]) for r in S.top_sentences(df, 2).collect()]
+    assert sorted(found, key=repr) == [("1", 2), ("1", 3), ("2", 0), (None, 0)]
