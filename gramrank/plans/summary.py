@@ -248,10 +248,9 @@ def top_sentences(scores: DataFrame, n: int = 3) -> DataFrame:
             if batch.num_rows:
                 yield _best_sentences(batch, n)
 
-    kinds = ", ".join(
-        f"{name} {scores.schema[name].dataType.simpleString()}" for name in ("doc_id", "sid", "score")
-    )
-    few = scores.select("doc_id", "sid", "score").mapInArrow(partial, kinds)
+    rows = scores.select("doc_id", "sid", "score")
+    schema = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    few = rows.mapInArrow(partial, schema)
     listed = few.groupBy("doc_id").agg(F.collect_list(F.struct("score", "sid")).alias("all"))
     best = F.slice(F.sort_array("all", asc=False), 1, n)
     return listed.select("doc_id", F.inline(best)).select("doc_id", "sid", "score")
